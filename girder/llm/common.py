@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,17 @@ from pyspark.sql import functions as F
 ROUND_BYTES = 1 << 20
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers on this machine import the package; a cluster ships it its own way."""
+    here = str(Path(__file__).resolve().parent.parent.parent)
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)
+    if here not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([here, *filter(None, paths)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -7,10 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from girder.llm import simhash_links
+from girder.llm import repeats, simhash_links
 from girder.llm.common import table
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.removed(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_links.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -21,6 +32,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 ORACLES: dict[str, str] = {}
