@@ -4,13 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from girder.llm import repeats, simhash_links
+from girder.llm import byte_bpe, repeats, simhash_links
 from girder.llm.common import table
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = byte_bpe.encode(table(spark, sf_dir, "documents"), path)
+    return byte_bpe.decode(ids, path).select(
+        F.col("id").alias("doc_id"),
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.removed(table(spark, sf_dir, "documents"))
     return found.select(
@@ -32,6 +44,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_byte_bpe": op3_byte_bpe,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
