@@ -8,8 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from girder.llm import byte_bpe, repeats, simhash_links
-from girder.llm.common import table
+from girder.llm import byte_bpe, language_id, repeats, simhash_links, toxicity
+from girder.llm.common import held_out, table
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    model = toxicity.learn(docs, labels, ~held_out())
+    found = toxicity.score(docs, model)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        held_out("id").alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +35,18 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.learn(docs, ~held_out()))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        held_out("id").alias("held_out"),
+        "lang_pred",
+        "score",
+        "rejected",
+    )
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.removed(table(spark, sf_dir, "documents"))
     return found.select(
@@ -44,7 +68,9 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op3_byte_bpe": op3_byte_bpe,
+    "op6_language_id": op6_language_id,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
