@@ -8,8 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from girder.llm import byte_bpe, language_id, repeats, simhash_links, toxicity
-from girder.llm.common import held_out, table
+from girder.llm import (
+    byte_bpe,
+    fingerprints,
+    language_id,
+    repeats,
+    simhash_links,
+    toxicity,
+)
+from girder.llm.common import held_out, table, written
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,12 +74,35 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = written(fingerprints.edited_fingerprints(docs), "fingerprints")
+    # searched: the documents whose id is divisible by 20, against all
+    asked = F.coalesce(F.col("id") % 20 == 0, F.lit(False))
+    found = fingerprints.counts_within(rows, rows.filter(asked))
+    counted = rows.filter(asked).join(found, "fp").unionByName(
+        rows.filter(~asked).withColumn("n_within", F.lit(None).cast("long"))
+    )
+    hexed = lambda c: F.lpad(F.lower(F.hex(c)), 16, "0")
+    return counted.select(
+        F.col("id").alias("doc_id"),
+        "n_chars",
+        "edited_sha256",
+        hexed("fp").alias("fingerprint"),
+        hexed("edited_fp").alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
+        fingerprints.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+        "n_within",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_byte_bpe": op3_byte_bpe,
     "op6_language_id": op6_language_id,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_document_fingerprints": op10_document_fingerprints,
 }
 ORACLES: dict[str, str] = {}
 
