@@ -13,8 +13,10 @@ from girder.llm import (
     fingerprints,
     language_id,
     repeats,
+    sharding,
     simhash_links,
     toxicity,
+    url_filter,
 )
 from girder.llm.common import held_out, table, written
 
@@ -42,6 +44,25 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = sharding.shards(table(spark, sf_dir, "documents"))
+    return dealt.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        F.col("crc").alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "curve",
+    )
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = url_filter.judge(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language_id.identify(docs, language_id.learn(docs, ~held_out()))
@@ -99,6 +120,8 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_hilbert_sharding": op4_hilbert_sharding,
+    "op5_url_filter": op5_url_filter,
     "op6_language_id": op6_language_id,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
