@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from girder.llm import (
     byte_bpe,
+    decontaminate,
     fingerprints,
     language_id,
     repeats,
@@ -21,6 +22,16 @@ from girder.llm import (
 from girder.llm.common import held_out, table, written
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    found = decontaminate.overlaps(docs, benchmark)
+    return found.groupBy(F.col("id").alias("doc_id"), F.col("item").alias("item_id")).agg(
+        F.max(F.col("end") - F.col("start")).alias("overlap_words"),
+        F.max("matches").alias("matches"),
+        F.max("similarity").alias("similarity"),
+    )
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
     model = toxicity.learn(docs, labels, ~held_out())
@@ -118,6 +129,7 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_hilbert_sharding": op4_hilbert_sharding,
