@@ -16,6 +16,7 @@ from girder.llm import (
     repeats,
     sharding,
     simhash_links,
+    token_files,
     toxicity,
     url_filter,
 )
@@ -86,6 +87,15 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        definition = f.read()
+    folder, files = token_files.write(table(spark, sf_dir, "documents"), definition, end_id=2)
+    return token_files.read(folder, files).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", F.col("crc").alias("ids_crc32")
+    )
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.removed(table(spark, sf_dir, "documents"))
     return found.select(
@@ -135,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_hilbert_sharding": op4_hilbert_sharding,
     "op5_url_filter": op5_url_filter,
     "op6_language_id": op6_language_id,
+    "op7_token_files": op7_token_files,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_document_fingerprints": op10_document_fingerprints,
