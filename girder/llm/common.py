@@ -43,7 +43,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts the lineage and outlives any executor."""
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/girder/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_at = path
+    return table
+
+
+def anti(rows: DataFrame, out: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """rows without the keys (_k1, _k2: 16 bytes) in ``out``, broadcast only if they are counted few."""
+    side = F.broadcast(out) if out.count() <= most else out
+    return rows.join(side, ["_k1", "_k2"], "left_anti")
+
+
+def deleted(*tables: DataFrame | None) -> None:
+    """Deletes written tables that nothing needs any more, so that disk holds one step's tables."""
+    for t in tables:
+        if t is not None:
+            jvm = t.sparkSession._jvm
+            at = jvm.org.apache.hadoop.fs.Path(t.written_at)
+            at.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(
+                at, True
+            )
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from girder.llm.common import rounds, utf8, written
+from girder.llm.common import anti, rounds, utf8, written
 from girder.llm.repeats import _BASES, _Hashes, _keyed
 
 WINDOW = 12
@@ -333,5 +333,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **how)
     """The rows of docs that no item contaminates, with their columns."""
     found = written(overlaps(docs, benchmark, id_col, **how).select("_k1", "_k2").distinct(), "leaks")
     keyed = _keyed(docs, id_col, how.get("text_col", "text"))
-    side = F.broadcast(found) if found.count() <= 1_000_000 else found
-    return keyed.join(side, ["_k1", "_k2"], "left_anti").select(*docs.columns)
+    return anti(keyed, found).select(*docs.columns)

@@ -30,8 +30,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from girder.llm.common import utf8, written
+from girder.llm.common import anti, utf8, written
 from girder.llm.components import connected_components
+from girder.llm.repeats import _keyed
 
 WORDS = 3
 RADIUS = 2
@@ -185,17 +186,40 @@ def _flips(pair: tuple[int, int]) -> list[str]:
     return ["0L", *(f"shiftleft(1L, {b})" for b in bits)]
 
 
+def classes(fps: DataFrame, radius: int = RADIUS, list_limit: int = LIST_LIMIT) -> DataFrame:
+    """fp, component (the smallest fp reachable over links) of distinct fingerprints."""
+    named = connected_components(links(fps, radius, list_limit))  # only nodes with a link
+    joined = fps.join(named, fps["fp"] == named["node"], "left")
+    return joined.select("fp", F.coalesce("component", "fp").alias("component"))
+
+
 def near_duplicates(
     docs: DataFrame, radius: int = RADIUS, words: int = WORDS, list_limit: int = LIST_LIMIT
 ) -> DataFrame:
     """doc_id, fp, component_id (the smallest doc_id reachable over links) of every row of docs."""
     rows = written(fingerprints(docs, words=words).withColumnRenamed("id", "doc_id"), "simhash")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    edges = links(nodes.select("fp"), radius, list_limit)
-    named = connected_components(edges)  # node, component: only of nodes with a link
-    joined = nodes.join(named, nodes["fp"] == named["node"], "left").select(
-        "fp", "first_id", F.coalesce("component", "fp").alias("component")
-    )
+    joined = nodes.join(classes(nodes.select("fp"), radius, list_limit), "fp")
     smallest = joined.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    classes = joined.join(smallest, "component").select("fp", "component_id")
-    return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
+    found = joined.join(smallest, "component").select("fp", "component_id")
+    return rows.join(found, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, radius: int = RADIUS, words: int = WORDS) -> DataFrame:
+    """docs with one row of each component: the smallest doc_id (null ids last), ties by a hash."""
+    keyed = _keyed(docs, "doc_id", "text")
+    key = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_k1", "_k2")
+    rows = written(fingerprints(keyed.withColumn("_key", key), "_key", words=words), "simhash")
+    nodes = rows.groupBy("fp").agg(F.min("id").alias("first"))
+    joined = nodes.join(classes(nodes.select("fp"), radius), "fp")
+    smallest = joined.groupBy("component").agg(F.min("first").alias("best"))
+    best = joined.join(smallest, "component").select("fp", "best")
+    # what goes: all rows but the best, and of the best's equal rows all but one
+    out = rows.join(best, "fp").filter("id <> best").select("id._k1", "id._k2").distinct()
+    again = rows.groupBy("id").count().filter("count > 1").select("id._k1", "id._k2")
+    kept = anti(keyed, written(out, "near-copies"))
+    repeated = written(again, "repeated-rows")
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    twins = kept.join(repeated, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"])
+    return anti(kept, repeated).unionByName(twins).select(*docs.columns)
