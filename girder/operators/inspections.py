@@ -111,3 +111,18 @@ def first_time_pass_rate(
     return published_rates(
         class_counts(with_class(first.filter(window), classes)), all_types, threshold
     )
+
+
+def artifact(rates: DataFrame, start: str, end: str, threshold: int, months: int = 12) -> DataFrame:
+    """One row: the published snapshot with its types as an ordered array (one entry for each type)."""
+    fields = [c for c in ("slug", "tier", "sample_size", "pass_rate", "fail_rate", "published") if c in rates.columns]
+    return rates.agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("types")).select(
+        F.lit(end).alias("snapshot_date"),
+        F.struct(
+            F.lit(start).alias("start"),
+            F.lit(end).alias("end"),
+            F.lit(f"Trailing {months} months").alias("label"),
+        ).alias("period"),
+        F.lit(threshold).alias("sample_threshold"),
+        "types",
+    )
