@@ -10,8 +10,6 @@ from girder.functions.text import address_key, normalize_name
 
 MIN_NAME = 4
 GRAM = 3
-#: Distinct names up to which the containment join is a plain (nested loop) join of the smaller side.
-SMALL_NAMES = 2_000
 
 
 def by_license(permits: DataFrame, contractors: DataFrame) -> DataFrame:
@@ -53,7 +51,7 @@ def _grams(x: Column) -> Column:
 
 
 def containing(names: DataFrame, needle: str, hay: DataFrame, text: str, key: str) -> DataFrame:
-    """needle, key: rows of hay whose lower-cased text contains the needle.
+    """needle, key: rows of hay whose lower-cased text contains the needle (GRAM characters at least).
 
     Without an index each needle would meet each text. So texts are indexed by their runs of three
     characters; a needle asks only its rarest run, and what it finds is checked. The index and the
