@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from girder.llm.common import rounds, utf8, written
+from girder.llm.common import deleted, rounds, utf8, written
 
 WINDOW = 400
 GRAM = 128
@@ -174,23 +174,30 @@ def _joined(big: DataFrame, side: DataFrame, keys: list[str], how: str) -> DataF
 
 def _decide(rows: DataFrame) -> DataFrame:
     """The rows that are not alone with their digit, with ``settled`` (every window is repeated)
-    and ``first`` (it stands for all that have the same bytes).
+    and ``first`` (it stands for all that have the same bytes). Deletes rows.
 
-    rows: _k1, _k2, pos, lo, a, b, i (digit), u1, u2 (all bytes of the range).
+    rows: _k1, _k2, pos, lo, a, b, i (digit), u1, u2 (all bytes of the range). The counts are written
+    before they are joined, so that a digit that very many share is split among tasks.
     """
-    again = rows.groupBy("i", "lo").count().filter("count > 1").select("i", "lo")
+    counts = rows.groupBy("i", "lo").count().filter("count > 1")
+    again = written(counts.select("i", "lo"), "digits")
     alive = written(rows.join(again, ["i", "lo"]), "alive")
-    classes = (
+    deleted(rows, again)
+    classes = written(
         alive.groupBy("u1", "u2", "lo")
         .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_k1", "_k2", "pos")).alias("least"))
-        .filter("n > 1")
+        .filter("n > 1"),
+        "classes",
     )
     both = alive.join(classes, ["u1", "u2", "lo"], "left")
-    return both.select(
+    decided = both.select(
         "_k1", "_k2", "pos", "lo", "a", "b", "i",
         F.col("n").isNotNull().alias("settled"),
         F.coalesce(F.col("least") == F.struct("_k1", "_k2", "pos"), F.lit(False)).alias("first"),
     )
+    decided = written(decided, "decided")
+    deleted(alive, classes)
+    return decided
 
 
 def _left(decided: DataFrame) -> DataFrame:
@@ -290,9 +297,8 @@ def repeated_spans(
     window: int = WINDOW,
     gram: int = GRAM,
 ) -> DataFrame:
-    """_k1, _k2 (the key of a row's id and text) and its spans: array of (start, end) in bytes.
-
-    Spans may overlap; texts without a repeated window have no row.
+    """_k1, _k2 (the key of a row's id and text) and its spans: array of (start, end) in bytes, the
+    maximal runs in order. Texts without a repeated window have no row.
     """
     if not 0 < gram < window:
         raise ValueError("the gram must be shorter than the window")
@@ -314,9 +320,10 @@ def repeated_spans(
                 )
 
     rows = written(texts.mapInArrow(scan, ROWS), "anchors")
-    around, found, wide = None, None, window - gram + 1
+    around, found, wide, tables = None, None, window - gram + 1, []
     while True:
-        decided = written(_decide(rows), "decided")
+        decided = _decide(rows)
+        tables.append(decided)
         spans = decided.filter("settled").select(
             "_k1", "_k2", (F.col("pos") - F.col("b")).alias("start"),
             (F.col("pos") - F.col("a") + window).alias("end"),
@@ -329,9 +336,22 @@ def repeated_spans(
             around = written(_surroundings(texts, left, window, gram), "around")
         width = -(-wide // BRANCH)
         rows = written(_cut(left, around, wide, width, window, gram), "ranges")
+        deleted(left)
         wide = width
     span = F.struct(F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
-    return found.groupBy("_k1", "_k2").agg(F.collect_set(span).alias("_spans"))
+    by_text = found.groupBy("_k1", "_k2").agg(F.collect_set(span).alias("_spans"))
+
+    def run(batches):
+        for b in batches:
+            cut = [merged([(s["start"], s["end"]) for s in x]) for x in b.column("_spans").to_pylist()]
+            cut = [[{"start": x, "end": y} for x, y in c] for c in cut]
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:2], pa.array(cut, b.schema.field("_spans").type)], b.schema.names
+            )
+
+    spans = written(by_text.mapInArrow(run, by_text.schema), "spans")
+    deleted(around, *tables)
+    return spans
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -366,7 +386,7 @@ def whole_chars(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, in
 
 def with_spans(docs: DataFrame, **how) -> DataFrame:
     """All rows and columns of docs, and ``_spans`` (null: nothing is repeated)."""
-    spans = written(repeated_spans(docs, **how), "spans")
+    spans = repeated_spans(docs, **how)
     keyed = _keyed(docs, how.get("id_col", "doc_id"), how.get("text_col", "text"))
     return _joined(keyed, spans, ["_k1", "_k2"], "left").drop("_k1", "_k2")
 
@@ -383,7 +403,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **h
             n_removed, n_spans, kept = [], [], []
             for r, spans in enumerate(b.column("_spans").to_pylist()):
                 text = chars[at[r] : at[r + 1]].tobytes()
-                cut = merged([(s["start"], s["end"]) for s in spans or ()])
+                cut = [(s["start"], s["end"]) for s in spans or ()]
                 n_removed.append(sum(y - x for x, y in cut))
                 n_spans.append(len(cut))
                 kept.append(kept_bytes(text, cut))
@@ -411,7 +431,7 @@ def without_repeats(docs: DataFrame, text_col: str = "text", **how) -> DataFrame
             out = []
             for r, spans in enumerate(b.column(b.num_columns - 1).to_pylist()):
                 text = chars[at[r] : at[r + 1]].tobytes()
-                cut = whole_chars(text, merged([(s["start"], s["end"]) for s in spans or ()]))
+                cut = whole_chars(text, [(s["start"], s["end"]) for s in spans or ()])
                 out.append(None if null[r] else kept_bytes(text, cut).decode())
             columns = list(b.columns[:-1])
             columns[place] = pa.array(out, pa.string())
