@@ -13,6 +13,7 @@ from girder.llm import (
     decontaminate,
     fingerprints,
     language_id,
+    oracles,
     repeats,
     sharding,
     simhash_links,
@@ -150,12 +151,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
-ORACLES: dict[str, str] = {}
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return dict(oracles.ORACLES)
