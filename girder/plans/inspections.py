@@ -9,6 +9,7 @@ from girder import taxonomy
 from girder.operators import inspections as op
 from girder.operators import reports
 from girder.plans.frames import INSPECTIONS, ctes, frame
+from girder.session import local_rows
 from girder.sources import files
 
 ORDER = ["idate", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -21,8 +22,8 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def inspected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as inspections: permit_ref, slug, idate, result; R and A are mapped, N isn't."""
-    slugs = spark.createDataFrame(
-        [("R", "final"), ("A", "framing")], "l_returnflag string, slug string"
+    slugs = local_rows(
+        spark, [("R", "final"), ("A", "framing")], "l_returnflag string, slug string"
     )
     rows = lineitem(spark, sf_dir).select(
         F.col("l_orderkey").alias("permit_ref"),
@@ -38,14 +39,14 @@ def inspected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def classes(spark: SparkSession) -> DataFrame:
     rows = [("*", "O", "pass"), ("*", "F", "fail"), ("final", "F", "pass")]
-    return spark.createDataFrame(rows, "slug string, result string, cls string")
+    return local_rows(spark, rows, "slug string, result string, cls string")
 
 
 def first_attempt_pass_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = op.first_attempts(inspected(spark, sf_dir), ["permit_ref", "slug"], ORDER)
     inside = first.filter(F.col("idate").between(F.lit(START), F.lit(END)))
     counts = op.class_counts(op.with_class(inside, classes(spark)))
-    slugs = spark.createDataFrame([("final",), ("framing",), ("footing",)], "slug string")
+    slugs = local_rows(spark, [("final",), ("framing",), ("footing",)], "slug string")
     return op.published_rates(counts, slugs, 100).select(
         "slug",
         "passed",
@@ -74,8 +75,8 @@ first AS (
 
 def first_attempt_rollup_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two raw types are one slug: the first of either counts once a user."""
-    slugs = spark.createDataFrame(
-        [("click", "engage"), ("view", "engage"), ("purchase", "buy")], "raw_type string, slug string"
+    slugs = local_rows(
+        spark, [("click", "engage"), ("view", "engage"), ("purchase", "buy")], "raw_type string, slug string"
     )
     rows = spark.read.parquet(f"{sf_dir}/events.parquet").withColumnRenamed("event_type", "inspection_type")
     first = op.first_attempts(op.with_slug(rows, slugs), ["user_id", "slug"], ["ts", "event_id"])

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def local_session(cores: int = 8, memory: str = "8g", app: str = "girder") -> SparkSession:
@@ -20,3 +23,11 @@ def local_session(cores: int = 8, memory: str = "8g", app: str = "girder") -> Sp
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def local_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few fixed rows as a local relation: no job, and Catalyst sees their size."""
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+    columns = list(zip(*rows)) or [()] * len(fields)
+    arrays = [pa.array(c, f.type) for c, f in zip(columns, fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=fields))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from girder.session import local_rows
+
 # The result classes, inspection types, statuses and categories of the data.
 DEFAULT_PASS = (
     "Approved",
@@ -103,12 +105,12 @@ ANY_TYPE = "*"
 def type_map(spark: SparkSession) -> DataFrame:
     """raw_type, slug, tier: ten rows."""
     rows = [(raw, slug, tier) for slug, tier, raws in INSPECTION_TYPES for raw in raws]
-    return spark.createDataFrame(rows, "raw_type string, slug string, tier int")
+    return local_rows(spark, rows, "raw_type string, slug string, tier int")
 
 
 def types(spark: SparkSession) -> DataFrame:
     """slug, tier: one row for each type, also those that no inspection has."""
-    return spark.createDataFrame([(s, t) for s, t, _ in INSPECTION_TYPES], "slug string, tier int")
+    return local_rows(spark, [(s, t) for s, t, _ in INSPECTION_TYPES], "slug string, tier int")
 
 
 def result_classes(spark: SparkSession) -> DataFrame:
@@ -116,4 +118,4 @@ def result_classes(spark: SparkSession) -> DataFrame:
     rows = [(ANY_TYPE, r, "pass") for r in DEFAULT_PASS]
     rows += [(ANY_TYPE, r, "fail") for r in DEFAULT_FAIL]
     rows += [(s, r, c) for s, by in OVERRIDES.items() for c, rs in by.items() for r in rs]
-    return spark.createDataFrame(rows, "slug string, result string, cls string")
+    return local_rows(spark, rows, "slug string, result string, cls string")
