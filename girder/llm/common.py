@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -15,10 +17,17 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one round of array work takes; a longer text makes a round of its own.
 ROUND_BYTES = 1 << 20
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def importable(spark: SparkSession) -> None:
-    """Lets Python workers on this machine import the package; a cluster ships it its own way."""
+    """Lets Python workers on this machine import the package; a cluster ships it its own way.
+
+    Batches are bounded by bytes unless the session says otherwise: ten thousand texts at once,
+    each held several times on either side, would fill an executor.
+    """
+    if spark.conf.get(BATCH_BYTES) == "67108864b":  # Spark's default
+        spark.conf.set(BATCH_BYTES, "4m")
     here = str(Path(__file__).resolve().parent.parent.parent)
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)
@@ -65,6 +74,20 @@ def deleted(*tables: DataFrame | None) -> None:
             )
 
 
+def lean(run: Callable) -> Callable:
+    """run, after which the worker gives its free memory back: it lives on for other tasks."""
+
+    def go(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return go
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Rows that no model here may learn from: crc32 of the id as text, mod 4, is 2."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2

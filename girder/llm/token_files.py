@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -36,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from girder.llm.common import rounds, shared_folder, utf8
+from girder.llm.common import lean, rounds, shared_folder, utf8
 
 MAGIC = b"GTOKENS1"
 #: Bounds of the dictionary's sample, and its size in bytes.
@@ -44,12 +43,17 @@ SAMPLE_DOCUMENTS = 1500
 MAX_SAMPLE_BYTES = 20_000
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
-CACHE_CHUNKS = 250_000
+CACHE_CHUNKS = 400_000
 FILE_DOCUMENTS = 5000
 MAX_FILES = 4096
 ROUND = 1 << 18
 _INDEX = np.dtype([("id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("length", "<u8"), ("n", "<u8")])
-_STOP = re.compile(rb"(?<=[0-9A-Za-z])([.,;:!?])(?=[\t-\r ]|\Z)")
+#: 1: ASCII letters and digits, 2: stops, 3: white space.
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 1
+_KINDS[list(b".,;:!?")] = 2
+_KINDS[[32, *range(9, 14)]] = 3
+BAR = b"|"
 _CODERS: dict[str, Coder] = {}
 
 
@@ -62,34 +66,59 @@ class Coder:
         self.kind = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
         lowers = '"Lowercase"' in definition
         self.fold = bytes.lower if lowers else bytes
+        bar = self.library.encode("|", add_special_tokens=False).ids
+        self.bar = bar[0] if len(bar) == 1 else None
         self.cache: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
-    def chunks(self, text: bytes) -> list[bytes]:
-        """The text between white space, in lower case if the tokenizer has only that; a stop after an
-        ASCII letter or digit is a token of its own anyhow, so it is cut off."""
+    def chunks(self, texts: list[bytes]) -> list[list[bytes]]:
+        """The texts between white space, in lower case if the tokenizer has only that; a stop after an
+        ASCII letter or digit and before white space is a token of its own anyhow, so it is cut off."""
+        joined = b"\n".join(texts) + b"\n"
         # a combining mark could compose with a capital and not with its small letter
-        if b"\xcc" not in text and b"\xcd" not in text:
-            text = self.fold(text)
-        return _STOP.sub(rb" \1", text).split()
+        if b"\xcc" not in joined and b"\xcd" not in joined:
+            joined = self.fold(joined)
+        data = np.frombuffer(joined, np.uint8)
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+        kinds = _KINDS[data]
+        stops = np.flatnonzero((kinds[1:-1] == 2) & (kinds[:-2] == 1) & (kinds[2:] == 3)) + 1
+        spaced = np.insert(data, stops, 32).tobytes()
+        ends = (ends + np.searchsorted(stops, ends)).tolist()
+        return [spaced[a:b].split() for a, b in zip([0, *ends], ends)]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        cut = [self.chunks(t) for t in texts]
+        cut = self.chunks(texts)
         new = set().union(*cut).difference(self.cache)
         if len(self.cache) + len(new) > CACHE_CHUNKS:
             self.older, self.cache = self.cache, {}
             new = set().union(*cut)
         known = [c for c in new if c in self.older]
         self.cache.update(zip(known, map(self.older.__getitem__, known)))
-        missing = list(new.difference(known))
-        found = self.library.encode_batch_fast(
-            [m.decode("utf-8", "replace") for m in missing], add_special_tokens=False
-        )
-        for m, x in zip(missing, found):
-            self.cache[m] = np.array(x.ids, self.kind).tobytes()
+        missing = new.difference(known)
+        plain = [m for m in missing if BAR not in m]
+        self.cache.update(self.together(plain) if self.bar is not None else self.apart(plain))
+        self.cache.update(self.apart([m for m in missing if BAR in m]))
         get = self.cache.__getitem__
         return [b"".join(map(get, c)) for c in cut]
 
+    def apart(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        texts = [c.decode("utf-8", "replace") for c in chunks]
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return {c: np.array(x.ids, self.kind).tobytes() for c, x in zip(chunks, found)}
+
+    def together(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        """One call of the library for all chunks, with bars between them: a chunk without a bar has
+        no token that is a bar alone."""
+        text = b" | ".join(chunks).decode("utf-8", "replace")
+        ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+        bars = np.flatnonzero(ids == self.bar)
+        if len(bars) != len(chunks) - 1:
+            return self.apart(chunks)
+        width, data = ids.itemsize, ids.tobytes()
+        starts = [0, *((bars + 1) * width).tolist()]
+        ends = [*(bars * width).tolist(), len(data)]
+        return {c: data[a:b] for c, a, b in zip(chunks, starts, ends)}
+
 
 def _coder(definition: str) -> Coder:
     """One for each worker process: its cache serves task after task."""
@@ -130,7 +159,7 @@ def _sampled(docs: DataFrame, definition, end_id: int) -> list[bytes]:
             ids = [x + end for x in coder.encode([data[i:j] for i, j in zip(at, at[1:])])]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
 
-    return [r["ids"] for r in few.mapInArrow(run, "ids binary").collect()]
+    return [r["ids"] for r in few.mapInArrow(lean(run), "ids binary").collect()]
 
 
 class _File:
@@ -221,7 +250,7 @@ def write(
                 )
 
     frames = texts.withColumn("tie", F.xxhash64("text")).mapInArrow(
-        encode, "bucket int, id long, tie long, n long, frame binary"
+        lean(encode), "bucket int, id long, tie long, n long, frame binary"
     )
     files = len(bounds) + 1
     dealt = frames.repartition(files, "bucket").sortWithinPartitions(
@@ -249,7 +278,7 @@ def write(
 
     schema = "bucket int, path string, n_docs long, n_tokens long"
     # a row for each file, MAX_FILES at most: the manifest that readers go by
-    made = dealt.select("bucket", "id", "n", "frame").mapInArrow(put, schema).collect()
+    made = dealt.select("bucket", "id", "n", "frame").mapInArrow(lean(put), schema).collect()
     return folder, spark.createDataFrame([tuple(r) for r in sorted(made)], schema)
 
 
@@ -315,4 +344,4 @@ def read(folder: str, files: DataFrame, with_ids: bool = False) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = "id long, start long, n_tokens long, crc long" + ", ids array<bigint>" * with_ids
-    return listed.mapInArrow(run, schema)
+    return listed.mapInArrow(lean(run), schema)

@@ -21,7 +21,7 @@ def definition():
 
 def random_texts(n):
     rng = random.Random(3)
-    bits = ["Don't", " ", "\n", "word,", "word.", "!?", "…,", "É", "É", "H̱", "İ", "12.5", "<|endoftext|>", " ", "'s,", "漢字", "Straße;", "\x1c", "\x85", "a.b", "🙂!", "ΣΑΣ"]
+    bits = ["Don't", " ", "\n", "word,", "word.", "!?", "…,", "É", "É", "H̱", "İ", "12.5", "<|endoftext|>", " ", "'s,", "漢字", "Straße;", "\x1c", "\x85", "a.b", "🙂!", "ΣΑΣ", "|", "a|b", " | "]
     return ["".join(rng.choices(bits, k=rng.randint(0, 30))) for _ in range(n)]
 
 
