@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from girder.llm.common import rounds, utf8
+from girder.llm.common import lean, rounds, utf8
 
 #: Pieces that a worker's cache holds before its older half goes.
 CACHE_PIECES = 200_000
@@ -312,7 +312,7 @@ def encode(
     schema = kept.select("id").schema.add("n_tokens", "long").add("ids", "binary")
     if offsets:
         schema = schema.add("ends", T.ArrayType(T.LongType()))
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(lean(run), schema)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -333,4 +333,4 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             )
 
     schema = encoded.select("*").schema.add("decoded", "binary")
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(lean(run), schema)

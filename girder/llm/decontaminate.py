@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from girder.llm.common import anti, rounds, utf8, written
+from girder.llm.common import anti, lean, rounds, utf8, written
 from girder.llm.repeats import _BASES, _Hashes, _keyed
 
 WINDOW = 12
@@ -142,7 +142,7 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 [b.column("item"), pa.array(tokens, pa.binary()), sizes], schema.names
             )
 
-    rows = kept.mapInArrow(run, schema).filter(F.col("n") >= MIN_WORDS)
+    rows = kept.mapInArrow(lean(run), schema).filter(F.col("n") >= MIN_WORDS)
     return written(rows.withColumn("row", F.monotonically_increasing_id()), "items")
 
 
@@ -170,7 +170,7 @@ def _seed_rows(items: DataFrame, used: dict[int, list[int]], all_masks: list) ->
                     ["row", "place", "seed"],
                 )
 
-    return items.select("row", "tokens").mapInArrow(run, "row long, place int, seed long")
+    return items.select("row", "tokens").mapInArrow(lean(run), "row long, place int, seed long")
 
 
 def _regions(docs: DataFrame, all_masks: list, longest: int, bitmap) -> DataFrame:
@@ -219,7 +219,7 @@ def _regions(docs: DataFrame, all_masks: list, longest: int, bitmap) -> DataFram
                     schema.names,
                 )
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def _hit_rows(regions: DataFrame) -> DataFrame:
@@ -237,7 +237,7 @@ def _hit_rows(regions: DataFrame) -> DataFrame:
             )
 
     return regions.select("_k1", "_k2", "first", "places", "seeds").mapInArrow(
-        run, "_k1 long, _k2 long, first int, at int, seed long"
+        lean(run), "_k1 long, _k2 long, first int, at int, seed long"
     )
 
 
@@ -324,7 +324,7 @@ def overlaps(
         F.struct("start", "end", "matches"),
         F.struct(F.col("end") - F.col("start"), "matches", -F.col("start")),
     )
-    found = beside.mapInArrow(verify, schema).groupBy("_k1", "_k2", "id", "item").agg(best.alias("o"))
+    found = beside.mapInArrow(lean(verify), schema).groupBy("_k1", "_k2", "id", "item").agg(best.alias("o"))
     share = F.col("o.matches") / (F.col("o.end") - F.col("o.start"))
     return found.select("_k1", "_k2", "id", "item", "o.*", share.alias("similarity"))
 

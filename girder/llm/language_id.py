@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from girder.llm.common import rounds, utf8
+from girder.llm.common import lean, rounds, utf8
 from girder.llm.ngrams import grams, has_letter, symbols
 
 SIZES = (2, 3, 4)
@@ -223,7 +223,7 @@ def identify(
 
     schema = kept.select("id").schema
     schema = schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(lean(run), schema)
 
 
 def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -238,7 +238,7 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
                 keep = pa.array(~rejected.to_numpy(zero_copy_only=False))
                 yield whole.filter(keep)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def _predicted(b: pa.RecordBatch, place: int, model: Model):

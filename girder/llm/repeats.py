@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from girder.llm.common import deleted, rounds, utf8, written
+from girder.llm.common import deleted, lean, rounds, utf8, written
 
 WINDOW = 400
 GRAM = 128
@@ -238,7 +238,7 @@ def _surroundings(docs: DataFrame, left: DataFrame, window: int, gram: int) -> D
     names = ["_k1", "_k2", "pos", "around", "before", "after"]
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int32()]
     return texts.select("_k1", "_k2", "text", "at").mapInArrow(
-        run, "_k1 long, _k2 long, pos int, around binary, before int, after int"
+        lean(run), "_k1 long, _k2 long, pos int, around binary, before int, after int"
     )
 
 
@@ -284,7 +284,7 @@ def _cut(left: DataFrame, around: DataFrame, wide: int, width: int, window: int,
                     ["_k1", "_k2", "pos", "lo", "a", "b", "i", "u1", "u2"],
                 )
 
-    return rows.mapInArrow(run, ROWS)
+    return rows.mapInArrow(lean(run), ROWS)
 
 
 ROWS = "_k1 long, _k2 long, pos int, lo int, a int, b int, i long, u1 long, u2 long"
@@ -319,7 +319,7 @@ def repeated_spans(
                     ["_k1", "_k2", "pos", "lo", "a", "b", "i", "u1", "u2"],
                 )
 
-    rows = written(texts.mapInArrow(scan, ROWS), "anchors")
+    rows = written(texts.mapInArrow(lean(scan), ROWS), "anchors")
     around, found, wide, tables = None, None, window - gram + 1, []
     while True:
         decided = _decide(rows)
@@ -349,7 +349,7 @@ def repeated_spans(
                 [*b.columns[:2], pa.array(cut, b.schema.field("_spans").type)], b.schema.names
             )
 
-    spans = written(by_text.mapInArrow(run, by_text.schema), "spans")
+    spans = written(by_text.mapInArrow(lean(run), by_text.schema), "spans")
     deleted(around, *tables)
     return spans
 
@@ -416,7 +416,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **h
     schema = rows.select("id").schema
     for name in ("n_bytes", "n_removed", "n_spans"):
         schema = schema.add(name, "long")
-    return rows.mapInArrow(run, schema.add("kept", "binary"))
+    return rows.mapInArrow(lean(run), schema.add("kept", "binary"))
 
 
 def without_repeats(docs: DataFrame, text_col: str = "text", **how) -> DataFrame:
@@ -437,4 +437,4 @@ def without_repeats(docs: DataFrame, text_col: str = "text", **how) -> DataFrame
             columns[place] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns, b.schema.names[:-1])
 
-    return rows.mapInArrow(run, T.StructType(docs.schema.fields))
+    return rows.mapInArrow(lean(run), T.StructType(docs.schema.fields))

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from girder.llm.common import written
+from girder.llm.common import lean, written
 
 SHARDS = 8
 CELL_BITS = 5
@@ -121,7 +121,7 @@ def shards(
             )
 
     placed = joined.select(*kept, *DIMENSIONS).mapInArrow(
-        place, joined.select(*kept).schema.add("curve", "long")
+        lean(place), joined.select(*kept).schema.add("curve", "long")
     )
     order = ["curve", "hash", "id", "row"]
     ranged = placed.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -142,7 +142,7 @@ def shards(
 
     schema = ranged.select("*").schema.add("part", "integer").add("index", "long").add("at", "long")
     names = schema.names
-    numbered = written(ranged.mapInArrow(number, schema), "ordered")
+    numbered = written(ranged.mapInArrow(lean(number), schema), "ordered")
     # one row for each partition
     sums = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
     offsets, count, size = [], 0, 0

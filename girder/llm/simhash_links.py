@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from girder.llm.common import anti, utf8, written
+from girder.llm.common import anti, lean, utf8, written
 from girder.llm.components import connected_components
 from girder.llm.repeats import _keyed
 
@@ -81,7 +81,7 @@ def fingerprints(
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["id", "fp"])
 
     schema = kept.select("id").schema.add("fp", "long")
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(lean(run), schema)
 
 
 def byte(fp: Column, k: int) -> Column:

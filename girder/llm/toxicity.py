@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from girder.llm.common import rounds, utf8
+from girder.llm.common import lean, rounds, utf8
 from girder.llm.ngrams import grams, symbols
 
 SIZES = (4, 6, 8, 9)
@@ -177,4 +177,4 @@ def score(
                     [b.column("id").slice(i, j - i), pa.array(found)], ["id", "score"]
                 )
 
-    return kept.mapInArrow(run, kept.select("id").schema.add("score", "double"))
+    return kept.mapInArrow(lean(run), kept.select("id").schema.add("score", "double"))
