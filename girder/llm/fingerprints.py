@@ -1,9 +1,11 @@
 """Document fingerprints: SimHash over weighted terms, and a search by permuted block tables.
 
-Only DataFrame functions are used. Terms are pairs of neighbouring words; each occurrence votes with the
-bytes of its first word (at most ``MAX_WEIGHT``) for the bits of its XXH64. Two bits share one sum, in the
-halves of a long, so a term costs 32 additions and never leaves generated code. A fingerprint bit is one
-if its votes are over half of all weights.
+Only DataFrame functions are used. Terms are the distinct pairs of neighbouring words; each votes with the
+bytes of its first word (at most ``MAX_WEIGHT``) for the bits of its hash. A pair that a text repeats
+hundreds of times counts once: it would outvote all the rest. Texts of at most ``SHORT_TEXT`` characters
+have too few pairs to show what they share; their terms are runs of three characters. Two bits share one sum, in the halves of a
+long, so a term costs 32 additions in generated code. A fingerprint bit is one if its votes are over half of
+all weights.
 
 Documents and their successors meet in buckets of neighbouring ids: bucket bounds are quantiles of the
 ids, the first document of a bucket is copied into the bucket before it, and one shuffle by bucket
@@ -14,7 +16,7 @@ blocks at least, so each pair meets in one of the tables that lead with two bloc
 verified. Equal fingerprints are one entry.
 
 Defined results. Null text: empty. Texts of white space or none have the fingerprint of one empty term.
-A text of one word votes with that word. Null ids come after all others, ties of ids are ordered by
+A longer text of one word votes with that word. Null ids come after all others, ties of ids are ordered by
 a hash of their texts; repeated rows follow each other. A single document is its own successor. An
 empty table gives an empty result. Extra columns are ignored.
 """
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 
 BITS = 64
 MAX_WEIGHT = 24
+SHORT_TEXT = 256
 RADIUS = 3
 #: Documents of a bucket; more if that made over MAX_BUCKETS.
 BUCKET_ROWS = 1000
@@ -59,12 +62,25 @@ def simhash(rows: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
 
     If rows are already partitioned by some of the keys nothing is shuffled.
     """
-    words = rows.select(*keys, F.split(F.coalesce(F.col(text), F.lit("")), " ").alias("w"))
+    whole = F.coalesce(F.col(text), F.lit(""))
+    words = rows.select(*keys, whole.alias("t"), F.split(whole, " ").alias("w"))
     pairs = F.arrays_zip(F.col("w").alias("a"), F.slice("w", 2, F.size("w")).alias("b"))
-    terms = words.select(*keys, F.inline(pairs).alias("a", "b")).select(
-        *keys,
-        F.xxhash64("a", "b").alias("h"),
-        F.least(F.octet_length("a") + 1, F.lit(MAX_WEIGHT)).cast("long").alias("weight"),
+
+    def packed(x: Column) -> Column:
+        """A pair's hash with its weight in the low five bits: one long, which is told apart fast."""
+        weight = F.least(F.octet_length(x.a) + 1, F.lit(MAX_WEIGHT)).cast("long")
+        return F.xxhash64(x.a, x.b).bitwiseAND(F.lit(-32)).bitwiseOR(weight)
+
+    def run_of_three(i: Column) -> Column:
+        run = F.substring(F.col("t"), i, F.lit(3))
+        return packed(F.struct(run.alias("a"), F.lit(None).cast("string").alias("b")))
+
+    places = F.sequence(F.lit(1), F.greatest(F.length("t") - 2, F.lit(1)))
+    short = F.length("t") <= SHORT_TEXT
+    found = F.when(short, F.transform(places, run_of_three)).otherwise(F.transform(pairs, packed))
+    terms = words.select(*keys, F.explode(F.array_distinct(found)).alias("term"))
+    terms = terms.select(
+        *keys, F.xxhash64("term").alias("h"), F.col("term").bitwiseAND(F.lit(31)).alias("weight")
     )
     summed = terms.groupBy(*keys).agg(*_votes(), F.sum("weight").alias("total"))
     return summed.select(*keys, _bits().alias("fp"))
