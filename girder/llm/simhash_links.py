@@ -210,8 +210,17 @@ def one_of_each(docs: DataFrame, radius: int = RADIUS, words: int = WORDS) -> Da
     keyed = _keyed(docs, "doc_id", "text")
     key = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_k1", "_k2")
     rows = written(fingerprints(keyed.withColumn("_key", key), "_key", words=words), "simhash")
+    named = connected_components(links(rows.select("fp").distinct(), radius))
+    return first_of_each(docs, keyed, rows, named)
+
+
+def first_of_each(docs: DataFrame, keyed: DataFrame, rows: DataFrame, named: DataFrame) -> DataFrame:
+    """docs with the smallest id of each component. keyed: docs with keys; rows: id (with the keys)
+    and fp of each row; named: node (fp) and component of those that have a link."""
     nodes = rows.groupBy("fp").agg(F.min("id").alias("first"))
-    joined = nodes.join(classes(nodes.select("fp"), radius), "fp")
+    joined = nodes.join(named, nodes["fp"] == named["node"], "left").select(
+        "fp", "first", F.coalesce("component", "fp").alias("component")
+    )
     smallest = joined.groupBy("component").agg(F.min("first").alias("best"))
     best = joined.join(smallest, "component").select("fp", "best")
     # what goes: all rows but the best, and of the best's equal rows all but one
