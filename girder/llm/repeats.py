@@ -384,9 +384,13 @@ def whole_chars(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, in
     return out
 
 
-def with_spans(docs: DataFrame, **how) -> DataFrame:
-    """All rows and columns of docs, and ``_spans`` (null: nothing is repeated)."""
+def with_spans(docs: DataFrame, more: DataFrame | None = None, **how) -> DataFrame:
+    """All rows and columns of docs, and ``_spans`` (null: nothing is repeated). ``more``: other spans
+    of the same texts, which are added as they are."""
     spans = repeated_spans(docs, **how)
+    if more is not None:
+        both = spans.unionByName(more).groupBy("_k1", "_k2")
+        spans = written(both.agg(F.flatten(F.collect_list("_spans")).alias("_spans")), "all-spans")
     keyed = _keyed(docs, how.get("id_col", "doc_id"), how.get("text_col", "text"))
     return _joined(keyed, spans, ["_k1", "_k2"], "left").drop("_k1", "_k2")
 
@@ -419,9 +423,11 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **h
     return rows.mapInArrow(lean(run), schema.add("kept", "binary"))
 
 
-def without_repeats(docs: DataFrame, text_col: str = "text", **how) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, text_col: str = "text", more: DataFrame | None = None, **how
+) -> DataFrame:
     """docs with its texts cut; partly covered code points stay, so the texts stay UTF-8."""
-    rows = with_spans(docs, text_col=text_col, **how)
+    rows = with_spans(docs, more, text_col=text_col, **how)
     place = docs.columns.index(text_col)
 
     def run(batches):
@@ -431,7 +437,7 @@ def without_repeats(docs: DataFrame, text_col: str = "text", **how) -> DataFrame
             out = []
             for r, spans in enumerate(b.column(b.num_columns - 1).to_pylist()):
                 text = chars[at[r] : at[r + 1]].tobytes()
-                cut = whole_chars(text, [(s["start"], s["end"]) for s in spans or ()])
+                cut = whole_chars(text, merged([(s["start"], s["end"]) for s in spans or ()]))
                 out.append(None if null[r] else kept_bytes(text, cut).decode())
             columns = list(b.columns[:-1])
             columns[place] = pa.array(out, pa.string())
