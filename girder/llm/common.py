@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import gc
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -12,6 +14,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JError, Py4JNetworkError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,28 +44,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one only where that is unset, as in tests."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    return named or "file://" + os.path.join(tempfile.gettempdir(), "girder-shared")
+    """The folder in spark.checkpoint.dir. Where that is unset, one of this machine, but only if driver
+    and executors are one process, as in tests; on a cluster its lack is an error."""
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if re.fullmatch(r"local(\[.*\])?", context.master):
+        return "file://" + os.path.join(tempfile.gettempdir(), "girder-shared")
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in this application's part of the shared folder, which is deleted as Python exits."""
+    top = f"{shared_folder(spark).rstrip('/')}/girder/{spark.sparkContext.applicationId}"
+    if top not in _SCRATCH:
+        _SCRATCH.add(top)
+        at = spark._jvm.org.apache.hadoop.fs.Path(top)
+        atexit.register(_swept, at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at)
+    return f"{top}/{name}-{uuid.uuid4().hex}"
+
+
+_SCRATCH: set[str] = set()
+
+
+def _swept(files, at) -> None:
+    try:
+        files.delete(at, True)
+    except (Py4JError, Py4JNetworkError, OSError):  # the JVM went first: the folder's name tells whose it was
+        pass
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts the lineage and outlives any executor."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/girder/{name}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.written_at = path
     return table
 
 
-def anti(rows: DataFrame, out: DataFrame, most: int = 1_000_000) -> DataFrame:
-    """rows without the keys (_k1, _k2: 16 bytes) in ``out``, broadcast only if they are counted few."""
-    side = F.broadcast(out) if out.count() <= most else out
-    return rows.join(side, ["_k1", "_k2"], "left_anti")
-
-
 def deleted(*tables: DataFrame | None) -> None:
     """Deletes written tables that nothing needs any more, so that disk holds one step's tables."""
     for t in tables:
@@ -74,6 +95,51 @@ def deleted(*tables: DataFrame | None) -> None:
             )
 
 
+def renamed(docs: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """docs with columns c0, c1, ..., so that none clashes with a name of ours, and what names are now."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), [f"c{docs.columns.index(n)}" for n in names]
+
+
+#: Bytes of a side that is broadcast, as counted; beyond, the join is a shuffled one.
+BROADCAST_BYTES = 8 << 20
+#: Bytes that a row without arrays takes there.
+ROW_BYTES = 64
+#: Fewer keys than this can have more than their share of the rows; each is dealt among SPLITS tasks.
+HOT_KEYS = 1000
+SPLITS = 64
+
+
+def small(side: DataFrame, held: Column | None = None) -> DataFrame:
+    """side, marked for broadcast if its bytes are few. held: the bytes of a row's arrays or strings."""
+    row = F.lit(ROW_BYTES) if held is None else held + ROW_BYTES
+    size = side.agg(F.sum(row.cast("long"))).collect()[0][0] or 0
+    return F.broadcast(side) if size <= BROADCAST_BYTES else side
+
+
+def split_join(
+    rows: DataFrame, side: DataFrame, keys: list[str], how: str, total: int, count: str = "count"
+) -> DataFrame:
+    """rows joined with side, which has one row for a key and in ``count`` how many of the ``total`` rows have
+    it. A key that more than one in HOT_KEYS rows have is dealt among SPLITS tasks, its row of
+    side being repeated for each; there are fewer than HOT_KEYS such keys, so these are broadcast.
+    """
+    limit = total // HOT_KEYS
+    is_hot = F.col(count) > limit
+    hot = side.filter(is_hot).select(*keys, F.lit(True).alias("_hot"))
+    turn = F.pmod(F.monotonically_increasing_id(), F.lit(SPLITS)).cast("int")
+    dealt = rows.join(F.broadcast(hot), keys, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), turn).otherwise(F.lit(0))
+    )
+    last = F.when(is_hot, F.lit(SPLITS - 1)).otherwise(F.lit(0))
+    copies = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
+    return dealt.drop("_hot").join(copies, [*keys, "_salt"], how).drop("_salt")
+
+
+def anti(rows: DataFrame, out: DataFrame) -> DataFrame:
+    """rows without the keys (_k1, _k2: 16 bytes) in ``out``."""
+    return rows.join(small(out), ["_k1", "_k2"], "left_anti")
+
+
 def lean(run: Callable) -> Callable:
     """run, after which the worker gives its free memory back: it lives on for other tasks."""
 

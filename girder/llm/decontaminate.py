@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from girder.llm.common import anti, lean, rounds, utf8, written
+from girder.llm.common import anti, lean, renamed, rounds, utf8, written
 from girder.llm.repeats import _BASES, _Hashes, _keyed
 
 WINDOW = 12
@@ -332,5 +332,5 @@ def overlaps(
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
     """The rows of docs that no item contaminates, with their columns."""
     found = written(overlaps(docs, benchmark, id_col, **how).select("_k1", "_k2").distinct(), "leaks")
-    keyed = _keyed(docs, id_col, how.get("text_col", "text"))
-    return anti(keyed, found).select(*docs.columns)
+    plain, (doc, body) = renamed(docs, id_col, how.get("text_col", "text"))
+    return anti(_keyed(plain, doc, body), found).select(*plain.columns).toDF(*docs.columns)

@@ -11,7 +11,8 @@ pass are exactly the repeated windows. Two things keep the passes small:
   if no other anchor has them, the whole range is dropped. The bytes that its windows cover together
   are compared as well: if another anchor has those, every window of the range is repeated and the
   range is settled. Ranges that are neither are cut in seven and go to the next pass; ranges of one
-  offset are windows, and are settled always. The first pass reads the texts, the others the bytes
+  offset are windows, and are settled always. The widths are powers of seven, so a pass's ranges are
+  whole parts of the last one's and no window is in two of them. The first pass reads the texts, the others the bytes
   around the anchors that are left (one for each distinct surrounding that is settled, so that copies
   don't repeat).
 
@@ -20,8 +21,11 @@ documents share costs its anchors once a pass. Keys are 128-bit polynomial hashe
 
 Defined results. Null text: empty, zero bytes. Texts shorter than the window: nothing is removed.
 Repeated rows are documents of their own, so each is a repeat of the other. Matches overlap freely
-and may lie in one text. Extra columns pass through; the names ``_k1 _k2 _spans`` are reserved. Texts
-are read whole; one that is longer than a segment is read in overlapping segments.
+and may lie in one text; ties are none, as every holder of a repeated window loses it. An empty table gives an
+empty result. Extra columns pass through under any names. Texts are read whole; one that is longer than
+a segment is read in overlapping segments.
+
+Workers must be able to import this package; ``common.importable`` sees to that on one machine.
 """
 
 from __future__ import annotations
@@ -34,14 +38,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from girder.llm.common import deleted, lean, rounds, utf8, written
+from girder.llm.common import deleted, lean, renamed, rounds, small, split_join, utf8, written
 
 WINDOW = 400
 GRAM = 128
 SEGMENT = 1 << 18
 BRANCH = 7
-#: Rows of a side that is broadcast; beyond, the join is a shuffled one.
-BROADCAST_ROWS = 400_000
 
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -166,22 +168,16 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _joined(big: DataFrame, side: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """A join that broadcasts the side only if a count says that it is small."""
-    fits = side.count() <= BROADCAST_ROWS
-    return big.join(F.broadcast(side) if fits else side, keys, how)
-
-
 def _decide(rows: DataFrame) -> DataFrame:
     """The rows that are not alone with their digit, with ``settled`` (every window is repeated)
     and ``first`` (it stands for all that have the same bytes). Deletes rows.
 
     rows: _k1, _k2, pos, lo, a, b, i (digit), u1, u2 (all bytes of the range). The counts are written
-    before they are joined, so that a digit that very many share is split among tasks.
+    before they are joined, and a digit or class that very many share is dealt among tasks.
     """
-    counts = rows.groupBy("i", "lo").count().filter("count > 1")
-    again = written(counts.select("i", "lo"), "digits")
-    alive = written(rows.join(again, ["i", "lo"]), "alive")
+    total = rows.count()
+    again = written(rows.groupBy("i", "lo").count().filter("count > 1"), "digits")
+    alive = written(split_join(rows, again, ["i", "lo"], "inner", total).drop("count"), "alive")
     deleted(rows, again)
     classes = written(
         alive.groupBy("u1", "u2", "lo")
@@ -189,7 +185,7 @@ def _decide(rows: DataFrame) -> DataFrame:
         .filter("n > 1"),
         "classes",
     )
-    both = alive.join(classes, ["u1", "u2", "lo"], "left")
+    both = split_join(alive, classes, ["u1", "u2", "lo"], "left", alive.count(), "n")
     decided = both.select(
         "_k1", "_k2", "pos", "lo", "a", "b", "i",
         F.col("n").isNotNull().alias("settled"),
@@ -215,7 +211,7 @@ def _surroundings(docs: DataFrame, left: DataFrame, window: int, gram: int) -> D
     by_doc = left.groupBy("_k1", "_k2").agg(F.sort_array(F.collect_set("pos")).alias("at"))
     wanted = written(by_doc, "anchors-left")
     # an equal row repeats all surroundings of its twin; one of them is enough
-    texts = _joined(docs, wanted, ["_k1", "_k2"], "inner")
+    texts = docs.join(small(wanted, F.size("at") * 4), ["_k1", "_k2"])
 
     def run(batches):
         for b in batches:
@@ -263,14 +259,12 @@ def _cut(left: DataFrame, around: DataFrame, wide: int, width: int, window: int,
                 flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 sizes = np.diff(lists.offsets.to_numpy())
                 row = np.repeat(np.arange(m), sizes)
-                parts = -(-wide // width)
-                lo = (flat[:, None] + np.arange(parts) * width).ravel()
-                top = np.repeat(np.minimum(flat + wide, reach + 1), parts)
-                row = np.repeat(row, parts)
-                hi = np.minimum(lo + width, top) - 1
+                lo = (flat[:, None] + np.arange(0, wide, width)).ravel()
+                row = np.repeat(row, wide // width)
+                hi = np.minimum(lo + width - 1, reach)
                 a = np.maximum(lo, window - after[row])
                 c = np.minimum(hi, before[row])
-                ok = (lo < top) & (a <= c)
+                ok = (lo <= reach) & (a <= c)
                 row, lo, hi, a, c = row[ok], lo[ok], hi[ok], a[ok], c[ok]
                 digit = first.of(reach - lo, reach - hi + window, row).view(np.int64)
                 span = a * (reach + 1) + c
@@ -302,9 +296,8 @@ def repeated_spans(
     """
     if not 0 < gram < window:
         raise ValueError("the gram must be shorter than the window")
-    texts = _keyed(docs, id_col, text_col).select(
-        "_k1", "_k2", F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    )
+    plain, (doc, body) = renamed(docs, id_col, text_col)
+    texts = _keyed(plain, doc, body).select("_k1", "_k2", F.coalesce(body, F.lit("")).alias("text"))
 
     def scan(batches):
         for b in batches:
@@ -320,7 +313,9 @@ def repeated_spans(
                 )
 
     rows = written(texts.mapInArrow(lean(scan), ROWS), "anchors")
-    around, found, wide, tables = None, None, window - gram + 1, []
+    around, found, wide, tables = None, None, BRANCH, []
+    while wide < window - gram + 1:
+        wide *= BRANCH
     while True:
         decided = _decide(rows)
         tables.append(decided)
@@ -334,7 +329,7 @@ def repeated_spans(
         left = written(_left(decided), "left")
         if around is None:
             around = written(_surroundings(texts, left, window, gram), "around")
-        width = -(-wide // BRANCH)
+        width = wide // BRANCH
         rows = written(_cut(left, around, wide, width, window, gram), "ranges")
         deleted(left)
         wide = width
@@ -384,22 +379,26 @@ def whole_chars(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, in
     return out
 
 
-def with_spans(docs: DataFrame, more: DataFrame | None = None, **how) -> DataFrame:
-    """All rows and columns of docs, and ``_spans`` (null: nothing is repeated). ``more``: other spans
-    of the same texts, which are added as they are."""
-    spans = repeated_spans(docs, **how)
+def with_spans(
+    docs: DataFrame, more: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", **how
+) -> DataFrame:
+    """All rows and columns of docs, and last the spans (null: nothing is repeated). The columns are named
+    by place: c0, c1, ... ``more``: other spans of the same texts, which are added as they are."""
+    rows, (doc, text) = renamed(docs, id_col, text_col)
+    spans = repeated_spans(rows, doc, text, **how)
     if more is not None:
         both = spans.unionByName(more).groupBy("_k1", "_k2")
         spans = written(both.agg(F.flatten(F.collect_list("_spans")).alias("_spans")), "all-spans")
-    keyed = _keyed(docs, how.get("id_col", "doc_id"), how.get("text_col", "text"))
-    return _joined(keyed, spans, ["_k1", "_k2"], "left").drop("_k1", "_k2")
+    keyed = _keyed(rows, doc, text)
+    return keyed.join(small(spans, F.size("_spans") * 16), ["_k1", "_k2"], "left").select(
+        *rows.columns, "_spans"
+    )
 
 
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """id, n_bytes, n_removed, n_spans (maximal runs) and kept (bytes) of every row."""
-    rows = with_spans(docs, id_col=id_col, text_col=text_col, **how).select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"), "_spans"
-    )
+    rows = with_spans(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), id_col="id", **how)
+    rows = rows.toDF("id", "text", "_spans")
 
     def run(batches):
         for b in batches:
@@ -424,11 +423,15 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **h
 
 
 def without_repeats(
-    docs: DataFrame, text_col: str = "text", more: DataFrame | None = None, **how
+    docs: DataFrame,
+    text_col: str = "text",
+    more: DataFrame | None = None,
+    id_col: str = "doc_id",
+    **how,
 ) -> DataFrame:
     """docs with its texts cut; partly covered code points stay, so the texts stay UTF-8."""
-    rows = with_spans(docs, more, text_col=text_col, **how)
-    place = docs.columns.index(text_col)
+    rows = with_spans(docs, more, id_col, text_col, **how)
+    place, names = docs.columns.index(text_col), docs.columns
 
     def run(batches):
         for b in batches:
@@ -441,6 +444,6 @@ def without_repeats(
                 out.append(None if null[r] else kept_bytes(text, cut).decode())
             columns = list(b.columns[:-1])
             columns[place] = pa.array(out, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, b.schema.names[:-1])
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return rows.mapInArrow(lean(run), T.StructType(docs.schema.fields))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from girder.llm.common import anti, lean, utf8, written
+from girder.llm.common import anti, lean, renamed, utf8, written
 from girder.llm.components import connected_components
 from girder.llm.repeats import _keyed
 
@@ -207,11 +207,13 @@ def near_duplicates(
 
 def one_of_each(docs: DataFrame, radius: int = RADIUS, words: int = WORDS) -> DataFrame:
     """docs with one row of each component: the smallest doc_id (null ids last), ties by a hash."""
-    keyed = _keyed(docs, "doc_id", "text")
-    key = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_k1", "_k2")
-    rows = written(fingerprints(keyed.withColumn("_key", key), "_key", words=words), "simhash")
+    plain, (doc, body) = renamed(docs, "doc_id", "text")
+    keyed = _keyed(plain, doc, body)
+    key = F.struct(F.col(doc).isNull().alias("n"), F.col(doc).alias("doc"), "_k1", "_k2")
+    named_text = keyed.select(key.alias("_key"), F.col(body).alias("text"))
+    rows = written(fingerprints(named_text, "_key", words=words), "simhash")
     named = connected_components(links(rows.select("fp").distinct(), radius))
-    return first_of_each(docs, keyed, rows, named)
+    return first_of_each(plain, keyed, rows, named).toDF(*docs.columns)
 
 
 def first_of_each(docs: DataFrame, keyed: DataFrame, rows: DataFrame, named: DataFrame) -> DataFrame:

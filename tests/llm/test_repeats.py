@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 
+from girder.llm import common
 from girder.llm import repeats as op
 
 
@@ -85,3 +86,41 @@ def test_texts_stay_valid(spark):
     got = {r.doc_id: (r.text, r.k) for r in op.without_repeats(df, window=40, gram=8).collect()}
     assert got[3] == (None, 9) and set(got) == {1, 2, 3}
     assert "éaéa" not in got[1][0] and got[2][0].startswith("ũ")
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize(("window", "gram"), [(400, 128), (280, 96)])
+def test_periodic_texts(spark, window, gram, seed):
+    """Anchors stand close together in periodic texts; a window must not be counted twice for them."""
+    rng = random.Random(seed)
+    texts = []
+    for _ in range(10):
+        unit = "".join(rng.choices("ab \n", k=rng.choice([1, 2, 7, 39, 42, 60, 127, 150, 273])))
+        noise = lambda: "".join(rng.choices("cdefgh ", k=rng.randint(0, 300)))
+        body = (unit * (1200 // len(unit) + 2))[: rng.randint(window - 60, 1200)]
+        texts.append(noise() + body + noise())
+        if rng.random() < 0.5:
+            texts.append(noise() + body[rng.randint(0, 50) :] + noise())
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    got = {
+        r.id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept))
+        for r in op.removed(df, window=window, gram=gram).collect()
+    }
+    assert got == dict(enumerate(brute([t.encode() for t in texts], window)))
+
+
+def test_hot_keys_are_split(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_KEYS", 5)
+    texts = cases(random.Random(1), 40) * 3
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    got = {r.id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in op.removed(df, window=40, gram=8).collect()}
+    assert got == dict(enumerate(brute([(t or "").encode() for t in texts], 40)))
+
+
+def test_columns_with_our_names_come_through(spark):
+    t = "".join(random.Random(3).choices("abc ", k=90))
+    rows = [(1, 11, 12, "s", t + "x", 5), (2, 21, 22, "s", "y" + t, 6), (3, 31, 32, "s", None, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, _k1 long, _k2 long, _spans string, text string, c1 int")
+    got = sorted(op.without_repeats(df, window=40, gram=8).collect())
+    assert [tuple(r) for r in got] == [(1, 11, 12, "s", "x", 5), (2, 21, 22, "s", "y", 6), (3, 31, 32, "s", None, 7)]
+    assert op.without_repeats(df, window=40, gram=8).columns == df.columns
