@@ -177,7 +177,7 @@ def _decide(rows: DataFrame) -> DataFrame:
     """
     total = rows.count()
     again = written(rows.groupBy("i", "lo").count().filter("count > 1"), "digits")
-    alive = written(split_join(rows, again, ["i", "lo"], "inner", total).drop("count"), "alive")
+    alive = written(split_join(rows, again, ["i", "lo"], "inner", total), "alive")
     deleted(rows, again)
     classes = written(
         alive.groupBy("u1", "u2", "lo")
@@ -187,7 +187,7 @@ def _decide(rows: DataFrame) -> DataFrame:
     )
     both = split_join(alive, classes, ["u1", "u2", "lo"], "left", alive.count(), "n")
     decided = both.select(
-        "_k1", "_k2", "pos", "lo", "a", "b", "i",
+        "_k1", "_k2", "pos", "lo", "a", "b", "i", "count",
         F.col("n").isNotNull().alias("settled"),
         F.coalesce(F.col("least") == F.struct("_k1", "_k2", "pos"), F.lit(False)).alias("first"),
     )
@@ -199,10 +199,11 @@ def _decide(rows: DataFrame) -> DataFrame:
 def _left(decided: DataFrame) -> DataFrame:
     """What the next pass has to compare: unsettled ranges, and one of each settled class that they
     share a digit with."""
-    loose = decided.filter("NOT settled").select("_k1", "_k2", "pos", "lo", "i")
+    loose = decided.filter("NOT settled").select("_k1", "_k2", "pos", "lo", "i", "count")
     firsts = decided.filter("settled AND first").select("_k1", "_k2", "pos", "lo", "i")
-    near = firsts.join(loose.select("i", "lo").distinct(), ["i", "lo"], "left_semi")
-    return loose.unionByName(near).select("_k1", "_k2", "pos", "lo")
+    digits = loose.groupBy("i", "lo").agg(F.max("count").alias("count"))
+    near = split_join(firsts, digits, ["i", "lo"], "left_semi", decided.count())
+    return loose.select("_k1", "_k2", "pos", "lo").unionByName(near.select("_k1", "_k2", "pos", "lo"))
 
 
 def _surroundings(docs: DataFrame, left: DataFrame, window: int, gram: int) -> DataFrame:
