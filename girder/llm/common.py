@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 #: Bytes of text that one round of array work takes; a longer text makes a round of its own.
 ROUND_BYTES = 1 << 20
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+M_MMAP_THRESHOLD = -3
 
 
 def importable(spark: SparkSession) -> None:
@@ -101,7 +102,7 @@ def renamed(docs: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
 
 
 #: Bytes of a side that is broadcast, as counted; beyond, the join is a shuffled one.
-BROADCAST_BYTES = 8 << 20
+BROADCAST_BYTES = 2 << 20
 #: Bytes that a row without arrays takes there.
 ROW_BYTES = 64
 #: Fewer keys than this can have more than their share of the rows; each is dealt among SPLITS tasks.
@@ -109,11 +110,15 @@ HOT_KEYS = 1000
 SPLITS = 64
 
 
-def small(side: DataFrame, held: Column | None = None) -> DataFrame:
-    """side, marked for broadcast if its bytes are few. held: the bytes of a row's arrays or strings."""
+def fits(side: DataFrame, held: Column | None = None) -> bool:
+    """Whether side's bytes are few enough to broadcast. held: the bytes of a row's arrays or strings."""
     row = F.lit(ROW_BYTES) if held is None else held + ROW_BYTES
-    size = side.agg(F.sum(row.cast("long"))).collect()[0][0] or 0
-    return F.broadcast(side) if size <= BROADCAST_BYTES else side
+    return (side.agg(F.sum(row.cast("long"))).collect()[0][0] or 0) <= BROADCAST_BYTES
+
+
+def small(side: DataFrame, held: Column | None = None) -> DataFrame:
+    """side, marked for broadcast if it fits."""
+    return F.broadcast(side) if fits(side, held) else side
 
 
 def split_join(
@@ -141,15 +146,18 @@ def anti(rows: DataFrame, out: DataFrame) -> DataFrame:
 
 
 def lean(run: Callable) -> Callable:
-    """run, after which the worker gives its free memory back: it lives on for other tasks."""
+    """run, after which the worker gives its free memory back: it lives on for other tasks. Arrays of a few
+    MB are mapped by themselves, so that they go back as soon as they are free."""
 
     def go(batches):
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "mallopt"):
+            libc.mallopt(M_MMAP_THRESHOLD, 2 << 20)
         yield from run(batches)
         gc.collect()
         pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+        if hasattr(libc, "malloc_trim"):
+            libc.malloc_trim(0)
 
     return go
 

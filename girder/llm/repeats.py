@@ -42,7 +42,7 @@ from girder.llm.common import deleted, lean, renamed, rounds, small, split_join,
 
 WINDOW = 400
 GRAM = 128
-SEGMENT = 1 << 18
+SEGMENT = 1 << 17
 BRANCH = 7
 
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -227,7 +227,7 @@ def _surroundings(docs: DataFrame, left: DataFrame, window: int, gram: int) -> D
                     row = (k1[r], k2[r], p, around, before, len(around) - before)
                     for x, y in zip(out, row):
                         x.append(y)
-                if len(out[0]) > 20_000:
+                if len(out[0]) > 5_000:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], names)
                     out = [[], [], [], [], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], names)
@@ -247,8 +247,8 @@ def _cut(left: DataFrame, around: DataFrame, wide: int, width: int, window: int,
 
     def run(batches):
         for whole in batches:
-            for at in range(0, whole.num_rows, 2048):
-                b = whole.slice(at, 2048)
+            for at in range(0, whole.num_rows, 1024):
+                b = whole.slice(at, 1024)
                 m = b.num_rows
                 before = b.column("before").to_numpy(zero_copy_only=False)
                 after = b.column("after").to_numpy(zero_copy_only=False)
