@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from girder.operators import reports, upsert
+from girder.session import shared_folder
 from girder.streaming import incremental
 
 
@@ -77,8 +78,7 @@ def delta_since_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_idempotent_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events' stream, appended once for each (user, type), and delivered a second time."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file:///tmp/girder-shared"
-    path = f"{folder.rstrip('/')}/girder/stream-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/girder/stream-{uuid.uuid4().hex}"
     source = f"{sf_dir}/events.parquet"
     schema = spark.read.parquet(source).schema
     for turn in range(2):

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import re
+import tempfile
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -31,3 +35,15 @@ def local_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame
     columns = list(zip(*rows)) or [()] * len(fields)
     arrays = [pa.array(c, f.type) for c, f in zip(columns, fields)]
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=fields))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir. Where that is unset, one of this machine, but only if driver
+    and executors are one process, as in tests; on a cluster its lack is an error."""
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if re.fullmatch(r"local(\[.*\])?", context.master):
+        return "file://" + os.path.join(tempfile.gettempdir(), "girder-shared")
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
