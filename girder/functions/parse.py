@@ -139,3 +139,8 @@ def status_icon(status: Column) -> Column:
 def delta_stamp(ts: Column) -> Column:
     """The form of a delta cursor: no zone, milliseconds zero."""
     return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".000"))
+
+
+def json_or_null(x: Column) -> Column:
+    """JSON text as it is; null if it can't be read."""
+    return F.when(F.try_parse_json(x).isNotNull(), x)

@@ -7,10 +7,12 @@ version and then pointed to, so a reader never sees half a table.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -109,6 +111,18 @@ CONTRACTORS = Policy(
     ),
     ("id", "business_name", "phone", "website", "icp_score", "icp_tier", "created_at"),
 )
+LEGACY_CONTRACTORS = Policy(
+    ("cslb_license",),
+    (
+        "business_name", "owner_name", "phone", "email", "website", "address_street", "address_city",
+        "address_state", "address_zip", "license_class", "license_status", "license_expiry",
+        "has_active_license", "google_rating", "review_count", "social_links", "company_size_ai",
+        "years_in_business", "specializations_ai", "permit_count_total", "total_valuation_cents",
+        "avg_valuation_cents", "icp_score", "icp_tier", "enrichment_version", "last_enriched_at",
+        "updated_at",
+    ),
+    ("id", "created_at"),
+)
 SIGNALS = Policy(
     ("contractor_id", "signal_type"),
     ("signal_value", "is_active"),
@@ -120,8 +134,17 @@ HYPOTHESES = Policy(
 PIPELINE_STATE = Policy(("pipeline_name",), ("last_offset", "last_cursor", "status", "last_run_at"))
 
 
+class Conflict(Exception):
+    """Another writer was first; the change has to be made again on what it left."""
+
+
 class Table:
-    """A Parquet table of versions: writes beside the old one, then moves the pointer."""
+    """A Parquet table of versions: files are written beside the old ones, then a manifest names those that count.
+
+    Manifests are numbered and created exclusively, so of two writers that started from the same version one
+    fails with ``Conflict``. A manifest that its writer didn't finish is empty and is passed over. An append
+    adds a folder, a merge writes only the buckets of keys that its delta touches.
+    """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
@@ -132,23 +155,88 @@ class Table:
         fs = at.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
         return fs, at
 
-    def version(self) -> str | None:
+    def manifest(self) -> tuple[int, dict[str, list[str]]]:
+        """The number of the next version, and the folders of each bucket (all in "" if there are none)."""
         fs, at = self._pointer()
         if not fs.exists(at):
-            return None
-        names = [s.getPath().getName() for s in fs.listStatus(at)]
-        return sorted(names)[-1].split(".", 1)[1] if names else None
-
-    def read(self) -> DataFrame | None:
-        version = self.version()
-        return None if version is None else self.spark.read.parquet(f"{self.path}/{version}")
-
-    def replace(self, df: DataFrame) -> str:
-        """A whole new version; the old one stays readable until it is cleaned up."""
-        version = f"v-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.path}/{version}")
+            return 0, {}
+        found = sorted((s.getPath().getName(), s.getLen()) for s in fs.listStatus(at))
+        numbers = [(name, size) for name, size in found if name.isdigit()]
+        following = int(numbers[-1][0]) + 1 if numbers else 0
+        for name, size in reversed(numbers):
+            if size:
+                stream = fs.open(self.spark._jvm.org.apache.hadoop.fs.Path(at, name))
+                try:
+                    return following, json.loads(bytes(stream.readAllBytes()).decode())
+                finally:
+                    stream.close()
+        return following, {}
+
+    def read(self, buckets: list[int] | None = None) -> DataFrame | None:
+        """The table, or what its buckets hold; None before the first version."""
+        parts = self.manifest()[1]
+        wanted = parts if buckets is None else [str(b) for b in buckets if str(b) in parts]
+        folders = [f for b in wanted for f in parts[b]]
+        return self.spark.read.parquet(*[f"{self.path}/{f}" for f in folders]) if folders else None
+
+    def _commit(self, number: int, parts: dict[str, list[str]]) -> None:
         fs, at = self._pointer()
-        count = len(fs.listStatus(at)) if fs.exists(at) else 0
-        mark = self.spark._jvm.org.apache.hadoop.fs.Path(at, f"{count:08d}.{version}")
-        fs.create(mark, False).close()
-        return version
+        mark = self.spark._jvm.org.apache.hadoop.fs.Path(at, f"{number:08d}")
+        try:
+            stream = fs.create(mark, False)
+        except Py4JJavaError as e:
+            if "AlreadyExists" in e.java_exception.getClass().getName():
+                raise Conflict(f"version {number} of {self.path} is there already") from None
+            raise
+        stream.write(bytearray(json.dumps(parts).encode()))
+        stream.close()
+
+    def _written(self, df: DataFrame, *by: str) -> str:
+        folder = f"v-{uuid.uuid4().hex}"
+        df.write.partitionBy(*by).parquet(f"{self.path}/{folder}")
+        return folder
+
+    def replace(self, df: DataFrame, number: int | None = None) -> str:
+        """A whole new version; the old one stays readable until it is cleaned up.
+
+        number: the version that df was made for, as ``manifest`` told it.
+        """
+        number = self.manifest()[0] if number is None else number
+        folder = self._written(df)
+        self._commit(number, {"": [folder]})
+        return folder
+
+    def append(self, df: DataFrame, number: int | None = None) -> str:
+        """Adds rows as files of their own; what is there isn't written again."""
+        now, parts = self.manifest()
+        if any(parts) and "" not in parts:
+            raise ValueError("a table that is merged by buckets takes rows by merges")
+        folder = self._written(df)
+        self._commit(now if number is None else number, {"": [*parts.get("", []), folder]})
+        return folder
+
+    def merge(self, delta: DataFrame, policy: Policy, order: str | None = None, buckets: int = 64) -> list[int]:
+        """Merges by the policy; the buckets of keys that were written."""
+        number, parts = self.manifest()
+        if "" in parts:
+            raise ValueError("the table wasn't made by merges")
+        bucket = F.pmod(F.xxhash64(*policy.keys), F.lit(buckets)).cast("int")
+        touched = sorted(r[0] for r in delta.select(bucket).distinct().collect())
+        old = self.read(touched)
+        base = delta.limit(0) if old is None else old
+        merged = upsert(base, delta, policy, order).withColumn("_bucket", bucket)
+        # a bucket's rows in one file each: the merge is partitioned by the keys, its buckets are not
+        folder = self._written(merged.repartition("_bucket"), "_bucket")
+        new = {str(b): [f"{folder}/_bucket={b}"] for b in touched}
+        self._commit(number, parts | new)
+        return touched
+
+
+def again(change: Callable[[], object], tries: int = 5) -> object:
+    """change(), made again if another writer was first."""
+    for _ in range(tries - 1):
+        try:
+            return change()
+        except Conflict:
+            continue
+    return change()

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,6 +50,32 @@ def fetch_status(pages: DataFrame) -> DataFrame:
     return pages.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def fetched(
+    candidates: DataFrame, fetch: Callable[[str], str | None], delay_seconds: float = 0.8
+) -> DataFrame:
+    """license, html, error of each candidate: one call after another in a task, with a pause between them.
+
+    ``fetch`` stands for the network; what it raises is the row's error. How many tasks ask at once is the
+    number of partitions.
+    """
+
+    def run(batches):
+        for b in batches:
+            licenses, pages, errors = b.column("license").to_pylist(), [], []
+            for license in licenses:
+                try:
+                    pages.append(fetch(license))
+                    errors.append(None)
+                except Exception as e:  # a page that fails is counted, the others go on
+                    pages.append(None)
+                    errors.append(str(e) or type(e).__name__)
+                time.sleep(delay_seconds)
+            columns = [pa.array(x, pa.string()) for x in (licenses, pages, errors)]
+            yield pa.RecordBatch.from_arrays(columns, ["license", "html", "error"])
+
+    return candidates.select("license").mapInArrow(run, "license string, html string, error string")
+
+
 def append_snapshot(snapshot: DataFrame, path: str) -> None:
     """Adds a row of the history; rows are never changed."""
     snapshot.write.mode("append").partitionBy("snapshot_date").parquet(path)

@@ -106,7 +106,7 @@ def legacy_contractors(raw: DataFrame) -> DataFrame:
         active.alias("has_active_license"),
         number("google_rating").alias("google_rating"),
         parse.parse_int(F.col("google_review_count")).alias("review_count"),
-        F.when(F.try_parse_json("social_links").isNotNull(), F.col("social_links")).alias("social_links"),
+        parse.json_or_null(F.col("social_links")).alias("social_links"),
         "company_size_ai",
         parse.parse_int(F.col("years_in_business")).alias("years_in_business"),
         F.from_json("specializations", "array<string>").alias("specializations_ai"),

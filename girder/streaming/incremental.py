@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from girder.operators.upsert import Policy, Table, upsert
+from girder.operators.upsert import Policy, Table, again
 
 
 def since(rows: DataFrame, column: str, cursor: str | None) -> DataFrame:
@@ -25,7 +27,8 @@ def append_once(
 ) -> StreamingQuery:
     """Appends rows whose key isn't in the table yet; a batch that is replayed adds nothing.
 
-    Within a batch the first row of a key by ``order`` counts.
+    Within a batch the first row of a key by ``order`` counts. A batch writes its own rows only; of the table
+    it reads the keys.
     """
 
     def put(batch: DataFrame, number: int) -> None:
@@ -33,28 +36,32 @@ def append_once(
         rest = [c for c in batch.columns if c not in keys]
         once = batch.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("r"))
         new = once.select(*keys, "r.*").select(*batch.columns)
-        old = table.read()
-        table.replace(new if old is None else old.unionByName(new.join(old, keys, "left_anti")))
 
-    return (
-        stream.writeStream.foreachBatch(put)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+        def add() -> None:
+            version = table.manifest()[0]
+            old = table.read()
+            fresh = new if old is None else new.join(old.select(*keys), keys, "left_anti")
+            table.append(fresh, version)
+
+        again(add)
+
+    return _run(stream, put, checkpoint)
 
 
 def merge_stream(
-    stream: DataFrame, path: str, checkpoint: str, policy: Policy, order: str
+    stream: DataFrame, path: str, checkpoint: str, policy: Policy, order: str, buckets: int = 64
 ) -> StreamingQuery:
-    """Merges each batch into the table by its policy; the last of equal keys wins."""
+    """Merges each batch into the table by its policy; the last of equal keys wins. Only the buckets of keys
+    that a batch touches are read and written."""
 
     def put(batch: DataFrame, number: int) -> None:
         table = Table(batch.sparkSession, path)
-        old = table.read()
-        base = batch.limit(0) if old is None else old
-        table.replace(upsert(base, batch, policy, order))
+        again(lambda: table.merge(batch, policy, order, buckets))
+
+    return _run(stream, put, checkpoint)
+
 
+def _run(stream: DataFrame, put: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     return (
         stream.writeStream.foreachBatch(put)
         .option("checkpointLocation", checkpoint)

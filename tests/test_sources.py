@@ -6,7 +6,7 @@ import pytest
 
 from girder.operators import upsert
 from girder.sources import files, pages, paging, records
-from girder.streaming import incremental
+from girder.streaming import incremental, progress
 
 PAGE = """<html><body><h1>Contractor's License Detail for License # 100</h1>
 <td id="MainContent_BusInfo">ACE &amp; SONS<br/>1 MAIN ST<br>LOS ANGELES, CA 90001-1234<br/>Business Phone Number:(213) 555-0100</td>
@@ -87,6 +87,106 @@ def test_paged_source(spark):
     assert sorted(int(r.a) for r in df.collect()) == list(range(25))
 
 
+def fetch_since(offset, limit, where=None, order=None):
+    column, _, cursor = where.partition(" > ")
+    rows = [{"a": str(i), "b": f"{column} {order}"} for i in range(25) if f"{i:02d}" > cursor.strip("'")]
+    return rows[offset : offset + limit]
+
+
+def test_paged_source_asks_for_the_delta_only(spark):
+    spark.dataSource.register(paging.PagedSource)
+    reader = spark.read.format("paged").schema("a string, b string").option("fetch", "tests.test_sources:fetch_since")
+    df = reader.option("pagesize", 4).option("cursorcolumn", ":updated_at").option("cursor", "17").load()
+    got = df.collect()
+    assert sorted(int(r.a) for r in got) == list(range(18, 25)) and {r.b for r in got} == {":updated_at :id"}
+    assert paging.changed_since("c", "o'clock") == {"where": "c > 'o''clock'", "order": ":id"}
+    assert paging.changed_since("c", None) == {}
+
+
+def test_fetched_pages_and_their_failures(spark):
+    def ask(license):
+        if license == "4":
+            raise ValueError("no such page")
+        return None if license == "5" else f"<p>{license}</p>"
+
+    got = files.fetched(files.license_candidates(spark, 3, 7), ask, delay_seconds=0)
+    assert {r.license: (r.html, r.error) for r in got.collect()} == {
+        "3": ("<p>3</p>", None), "4": (None, "no such page"), "5": (None, None), "6": ("<p>6</p>", None)
+    }
+    assert {r.status: r.n for r in files.fetch_status(got).collect()} == {"result": 2, "error": 1, "not_found": 1}
+
+
+def parts(path):
+    return {p for p in path.rglob("*.parquet")}
+
+
+def test_batches_write_their_own_rows_only(spark, tmp_path):
+    source, target = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
+    schema = "k int, v string, seq int"
+    written = []
+    for turn in range(3):
+        rows = [(k, f"v{turn}", turn) for k in range(turn * 10, turn * 10 + 12)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = incremental.landed(spark, source, spark.read.parquet(source).schema)
+        incremental.append_once(stream, target, f"file://{tmp_path}/ck", ["k"], ["seq"]).awaitTermination()
+        written.append(parts(tmp_path / "out"))
+    new = [b - a for a, b in zip([set(), *written], written)]
+    assert [sum(spark.read.parquet(f"file://{p}").count() for p in ps) for ps in new] == [12, 10, 10]
+    got = {r.k: r.v for r in upsert.Table(spark, target).read().collect()}
+    assert got == {k: f"v{max(0, (k - 2) // 10)}" for k in range(32)}
+
+
+def test_merges_write_touched_buckets_only(spark, tmp_path):
+    table = upsert.Table(spark, f"file://{tmp_path}/t")
+    policy = upsert.Policy(("k",), ("v",))
+    frame = lambda rows: spark.createDataFrame(rows, "k int, v string")
+    assert table.merge(frame([(k, "a") for k in range(100)]), policy, buckets=8) == list(range(8))
+    before = parts(tmp_path / "t")
+    (touched,) = table.merge(frame([(5, "b")]), policy, buckets=8)
+    new = parts(tmp_path / "t") - before
+    assert all(f"_bucket={touched}" in str(p) for p in new)
+    assert sum(spark.read.parquet(f"file://{p}").count() for p in new) < 40
+    assert {r.k: r.v for r in table.read().collect()} == {k: "b" if k == 5 else "a" for k in range(100)}
+    with pytest.raises(ValueError):
+        table.append(frame([(1, "x")]))
+
+
+def test_two_writers(spark, tmp_path):
+    a, b = (upsert.Table(spark, f"file://{tmp_path}/t") for _ in range(2))
+    a.replace(spark.range(2).toDF("x"))
+    number, _ = b.manifest()
+    a.append(spark.range(2, 3).toDF("x"))
+    with pytest.raises(upsert.Conflict):
+        b.append(spark.range(3, 4).toDF("x"), number)
+    upsert.again(lambda: b.append(spark.range(3, 4).toDF("x")))
+    (tmp_path / "t" / "_current" / "00000009").touch()  # a writer that died
+    assert sorted(r.x for r in a.read().collect()) == [0, 1, 2, 3]
+    a.append(spark.range(4, 5).toDF("x"))
+    assert sorted(r.x for r in b.read().collect()) == [0, 1, 2, 3, 4]
+
+
+def test_resumed_batches(spark, tmp_path):
+    rows, path = spark.range(1, 24).toDF("id"), f"file://{tmp_path}/state"
+    seen = []
+
+    def sink(batch, number):
+        ids = [r.id for r in batch.collect()]
+        if ids[0] == 11 and len(seen) == 2:
+            seen.append("failed")
+            raise RuntimeError
+        seen.append(ids)
+
+    with pytest.raises(RuntimeError):
+        progress.resumed(rows, "id", 5, sink, path, "p")
+    saved = progress.state(spark, path, "p")
+    assert (saved["last_cursor"], saved["last_offset"], saved["status"]) == ("10", 10, "error")
+    assert progress.resumed(rows, "id", 5, sink, path, "p") == 3
+    assert seen == [[1, 2, 3, 4, 5], [6, 7, 8, 9, 10], "failed", [11, 12, 13, 14, 15], [16, 17, 18, 19, 20], [21, 22, 23]]
+    saved = progress.state(spark, path, "p")
+    assert (saved["last_cursor"], saved["last_offset"], saved["status"]) == (None, 23, "idle")
+    assert progress.resumed(rows.limit(0), "id", 5, sink, path, "other") == 0
+
+
 def test_retries():
     calls, waits = [], []
 
