@@ -1,7 +1,7 @@
 """Functions that a model would serve, with a deterministic stand-in for each.
 
-A callable for batches may replace either; it runs by Arrow batches and failures leave rows
-unclassified, as an unreachable model would.
+A callable for batches may replace either; it runs by Arrow batches. Failures leave rows unclassified, as an
+unreachable model would, and are counted in an accumulator, so that a fault doesn't pass for silence.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow as pa
+from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,9 +57,14 @@ def category(description: Column) -> Column:
 
 
 def classify(
-    permits: DataFrame, classifier: Callable[[list[str]], list[str | None]] | None = None
+    permits: DataFrame,
+    classifier: Callable[[list[str]], list[str | None]] | None = None,
+    failures: Accumulator | None = None,
 ) -> DataFrame:
-    """permits with a category where one was missing and a description is there, and its ADU flag."""
+    """permits with a category where one was missing and a description is there, and its ADU flag.
+
+    failures: counts the rows of batches that the classifier failed on (again, if a task is tried again).
+    """
     if classifier is None:
         named = permits.withColumn("_category", category(F.col("work_description")))
     else:
@@ -71,6 +77,8 @@ def classify(
                     names = classifier(texts)
                 except Exception:  # a failed batch stays unclassified and is tried at the next run
                     names = [None] * len(texts)
+                    if failures is not None:
+                        failures.add(len(texts))
                 known = [n if n in taxonomy.PROJECT_CATEGORIES or n is None else "Other" for n in names]
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(known, pa.string())], schema.names)
 

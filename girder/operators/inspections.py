@@ -126,3 +126,28 @@ def artifact(rates: DataFrame, start: str, end: str, threshold: int, months: int
         F.lit(threshold).alias("sample_threshold"),
         "types",
     )
+
+
+def correction_rates(inspections: DataFrame, owners: DataFrame) -> DataFrame:
+    """contractor_id, correction_rate_by_trade: the share of failed among decisive inspections, as a map by slug.
+
+    inspections: permit_ref, slug, cls. owners: permit_ref, contractor_id, one row for each permit. Counts are
+    made by permit before the join; a trade without decisive inspections isn't in the map.
+    """
+    decisive = inspections.filter(F.col("cls").isin("pass", "fail"))
+    by_permit = decisive.groupBy("permit_ref", "slug").agg(
+        F.count_if(F.col("cls") == "fail").alias("failed"), F.count(F.lit(1)).alias("n")
+    )
+    rates = (
+        by_permit.join(owners, "permit_ref")
+        .groupBy("contractor_id", "slug")
+        .agg((F.sum("failed") / F.sum("n")).alias("rate"))
+    )
+    # an entry for each inspection type, a fixed list
+    entries = F.sort_array(F.collect_list(F.struct("slug", "rate")))
+    return rates.groupBy("contractor_id").agg(F.map_from_entries(entries).alias("correction_rate_by_trade"))
+
+
+def within_box(rows: DataFrame, south: float, west: float, north: float, east: float) -> DataFrame:
+    """Rows whose lat and lng lie in the box, edges included; rows without coordinates don't."""
+    return rows.filter(F.col("lat").between(south, north) & F.col("lng").between(west, east))

@@ -13,12 +13,13 @@ GRAM = 3
 
 
 def by_license(permits: DataFrame, contractors: DataFrame) -> DataFrame:
-    """permit id, contractor_id: the license is trimmed and in upper case on the permit's side only."""
+    """permit id, contractor_id: the license is trimmed and in upper case on the permit's side only. Of
+    contractors that share a license the smallest id stands for all, so a permit has one row at most."""
     license = F.upper(F.trim(F.get_json_object("raw_source", "$.license")))
     left = permits.select(F.col("id").alias("permit_id"), license.alias("_license")).filter(
         "_license IS NOT NULL AND _license <> ''"
     )
-    right = contractors.select(F.col("id").alias("contractor_id"), "cslb_license")
+    right = contractors.groupBy("cslb_license").agg(F.min("id").alias("contractor_id"))
     return left.join(right, left["_license"] == right["cslb_license"]).select(
         "permit_id", "contractor_id"
     )
@@ -150,3 +151,12 @@ def two_stage_pass_rate(inspections: DataFrame, permits: DataFrame) -> DataFrame
         .groupBy("contractor_id")
         .agg((F.sum("approved") / F.nullif(F.sum("total"), F.lit(0))).alias("inspection_pass_rate"))
     )
+
+
+def linked(permits: DataFrame, contractors: DataFrame) -> DataFrame:
+    """permit_id, contractor_name, contractor_id, business_name, cslb_license of linked permits."""
+    right = contractors.select(F.col("id").alias("contractor_id"), "business_name", "cslb_license")
+    left = permits.select(F.col("id").alias("permit_id"), "contractor_name", "contractor_id")
+    return left.join(right, "contractor_id").select(
+        "permit_id", "contractor_name", "contractor_id", "business_name", "cslb_license"
+    )

@@ -167,6 +167,15 @@ def person_payloads(contractors: DataFrame) -> DataFrame:
     return contractors.select("id", payload.alias("payload"))
 
 
+def note_payloads(hypotheses: DataFrame) -> DataFrame:
+    """id, payload (JSON): a hypothesis as a note, its body as markdown and as one paragraph block."""
+    text_of = F.struct(F.lit("text").alias("type"), F.col("body_text").alias("text"))
+    block = F.struct(F.lit("paragraph").alias("type"), F.array(text_of).alias("content"))
+    body = F.struct(F.col("body_text").alias("markdown"), F.to_json(F.array(block)).alias("blocknote"))
+    payload = F.to_json(F.struct("id", F.col("hook_line").alias("title"), body.alias("bodyV2")))
+    return hypotheses.select("id", payload.alias("payload"))
+
+
 def missing_targets(notes: DataFrame, existing: DataFrame) -> DataFrame:
     """(note_id, company_id) pairs that the remote side lacks."""
     return notes.select("note_id", "company_id").join(existing, ["note_id", "company_id"], "left_anti")

@@ -140,8 +140,8 @@ def average_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def permit_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The inspections of some permits in order, with slug and class, first attempts marked."""
-    rows = inspected(spark, sf_dir).filter(F.col("permit_ref") <= 50)
+    """The inspections of all permits in order, with slug and class, first attempts marked."""
+    rows = inspected(spark, sf_dir)
     placed = reports.timeline(op.with_class(rows, classes(spark)), ["permit_ref", "slug"], "idate", ORDER)
     return placed.select(
         "permit_ref", "slug", "sequence_position", F.col("idate").cast("string").alias("day"), "cls", "is_first"
@@ -263,7 +263,7 @@ FROM (SELECT l_orderkey AS permit_ref, CASE l_returnflag WHEN 'R' THEN 'final' E
         CAST(l_shipdate AS DATE) AS idate, l_linestatus AS result,
         row_number() OVER (PARTITION BY l_orderkey, l_returnflag
           ORDER BY CAST(l_shipdate AS DATE), l_linenumber, l_partkey, l_suppkey) AS p
-      FROM lineitem WHERE l_returnflag IN ('R', 'A') AND l_orderkey <= 50)
+      FROM lineitem WHERE l_returnflag IN ('R', 'A'))
 """,
     "latest_snapshot": """
 SELECT CAST(d AS VARCHAR) AS snapshot_date, n FROM (

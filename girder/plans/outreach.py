@@ -145,7 +145,7 @@ def note_targets_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     pairs = items.select(F.col("l_orderkey").alias("note_id"), F.col("l_suppkey").alias("company_id"))
     return outreach.missing_targets(
-        pairs.filter("note_id % 5 = 0").distinct(), pairs.where(items["l_linestatus"] == "F")
+        pairs.distinct(), pairs.where(items["l_linestatus"] == "F")
     )
 
 
@@ -292,8 +292,8 @@ SELECT id, s[1:8] || '-' || s[9:12] || '-4' || s[14:16] || '-'
   'CSLB ' || license_class || ' Contractor' AS job_title, phone FROM h
 """,
     "note_targets_missing": """
-SELECT DISTINCT l_orderkey AS note_id, l_suppkey AS company_id FROM lineitem a WHERE l_orderkey % 5 = 0
-  AND NOT EXISTS (SELECT 1 FROM lineitem b WHERE b.l_linestatus = 'F' AND b.l_orderkey = a.l_orderkey AND b.l_suppkey = a.l_suppkey)
+SELECT DISTINCT l_orderkey AS note_id, l_suppkey AS company_id FROM lineitem a
+  WHERE NOT EXISTS (SELECT 1 FROM lineitem b WHERE b.l_linestatus = 'F' AND b.l_orderkey = a.l_orderkey AND b.l_suppkey = a.l_suppkey)
 """,
     "opt_out_touches": f"""{BASE}
 SELECT c.id AS contractor_id, 'opted_out' AS touch_type, CAST(CAST(min(e.ts) AS DATE) AS VARCHAR) AS at

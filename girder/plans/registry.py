@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 #: Each module holds QUERIES and ORACLE_SQL.
-MODULES = ("inspections", "contractors", "outreach", "changes", "scalars")
+MODULES = ("inspections", "contractors", "outreach", "changes", "scalars", "intake")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -72,16 +72,12 @@ def html_title_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def classify_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The offline classifier over part names and priorities as descriptions."""
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
-    words = F.element_at(
-        F.array(*[F.lit(x) for x in ("new ADU", "Kitchen remodel", "re-roof with shingles", "EV charger", "paint")]),
-        (F.col("p_partkey") % 5 + 1).cast("int"),
-    )
-    permits = parts.select(
-        F.col("p_partkey").alias("id"),
-        F.concat_ws(" ", "p_name", words).alias("work_description"),
-        F.when(F.col("p_partkey") % 7 == 0, "Solar").cast("string").alias("project_category_ai"),
+    """The offline classifier over the whole texts of documents as descriptions; some have a category already."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    permits = docs.select(
+        F.col("doc_id").alias("id"),
+        F.col("text").alias("work_description"),
+        F.when(F.col("doc_id") % 7 == 0, "Solar").cast("string").alias("project_category_ai"),
         F.lit(False).alias("adu_flag"),
     )
     return external.classify(permits).select("id", "project_category_ai", "adu_flag")
@@ -142,10 +138,12 @@ GROUP BY 1
     "html_title_extract": """
 SELECT page_id, nullif(trim(regexp_extract(html, '<title[^>]*>(.*?)</title>', 1)), '') AS title FROM pages
 """,
-    "classify_documents": """
-SELECT p_partkey AS id, CASE WHEN p_partkey % 7 = 0 THEN 'Solar' ELSE
-  CASE p_partkey % 5 WHEN 0 THEN 'ADU' WHEN 1 THEN 'Kitchen' WHEN 2 THEN 'Re-Roof' WHEN 3 THEN 'EV-Charger' ELSE 'Other' END
-  END AS project_category_ai, p_partkey % 7 <> 0 AND p_partkey % 5 = 0 AS adu_flag FROM part
+    "classify_documents": rf"""
+WITH named AS (SELECT doc_id, text, lower(coalesce(text, '')) AS t FROM documents),
+found AS (SELECT doc_id, text, CASE {" ".join(f"WHEN regexp_matches(t, '{p}') THEN '{name}'" for name, p in external.KEYWORDS)}
+  ELSE 'Other' END AS c FROM named)
+SELECT doc_id AS id, CASE WHEN doc_id % 7 = 0 THEN 'Solar' WHEN text IS NOT NULL THEN c END AS project_category_ai,
+  doc_id % 7 <> 0 AND text IS NOT NULL AND c IN ('ADU', 'JADU') AS adu_flag FROM found
 """,
     "percent_and_counts": """
 SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'F') AS done, count(*) AS n,

@@ -237,3 +237,20 @@ def test_shares_and_sensitivity(spark):
     counted = reports.distribution(rows, "slug", "r")
     assert sorted((r.slug, r.label, r.n) for r in counted.collect()) == [("a", "(null)", 1), ("a", "(null)", 1), ("a", "x", 1), ("b", "x", 1)]
     assert {r.total for r in reports.with_shares(counted).collect()} == {4}
+
+
+def test_contractors_that_share_a_license_link_a_permit_once(spark):
+    permits = spark.createDataFrame([("p1", '{"license": " 77 "}'), ("p2", '{"license": "8"}')], "id string, raw_source string")
+    people = spark.createDataFrame([("b", "77"), ("a", "77"), ("c", "9")], "id string, cslb_license string")
+    assert [tuple(r) for r in linking.by_license(permits, people).collect()] == [("p1", "a")]
+
+
+def test_failing_classifier_is_counted(spark):
+    rows = spark.createDataFrame([(1, "adu", None, False), (2, "pool", None, False)], "id int, work_description string, project_category_ai string, adu_flag boolean")
+    failures = spark.sparkContext.accumulator(0)
+
+    def broken(texts):
+        raise ConnectionError
+
+    got = external.classify(rows.coalesce(1), broken, failures).collect()
+    assert [r.project_category_ai for r in got] == [None, None] and failures.value == 2
