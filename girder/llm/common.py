@@ -6,8 +6,6 @@ import atexit
 import ctypes
 import gc
 import os
-import re
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -18,6 +16,8 @@ from py4j.protocol import Py4JError, Py4JNetworkError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from girder.session import shared_folder
+
 #: Bytes of text that one round of array work takes; a longer text makes a round of its own.
 ROUND_BYTES = 1 << 20
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -44,18 +44,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir. Where that is unset, one of this machine, but only if driver
-    and executors are one process, as in tests; on a cluster its lack is an error."""
-    context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if re.fullmatch(r"local(\[.*\])?", context.master):
-        return "file://" + os.path.join(tempfile.gettempdir(), "girder-shared")
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in this application's part of the shared folder, which is deleted as Python exits."""
     top = f"{shared_folder(spark).rstrip('/')}/girder/{spark.sparkContext.applicationId}"
@@ -121,6 +109,12 @@ def small(side: DataFrame, held: Column | None = None) -> DataFrame:
     return F.broadcast(side) if fits(side, held) else side
 
 
+def hashed(side: DataFrame) -> DataFrame:
+    """side, marked for the hashed side of a shuffled join: the texts that it meets are shuffled but not sorted.
+    For sides with one row for a text, so that no key is hot."""
+    return side.hint("shuffle_hash")
+
+
 def split_join(
     rows: DataFrame, side: DataFrame, keys: list[str], how: str, total: int, count: str = "count"
 ) -> DataFrame:

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from girder.llm.common import deleted, lean, renamed, rounds, small, split_join, utf8, written
+from girder.llm.common import deleted, hashed, lean, renamed, rounds, split_join, utf8, written
 
 WINDOW = 400
 GRAM = 128
@@ -212,7 +212,7 @@ def _surroundings(docs: DataFrame, left: DataFrame, window: int, gram: int) -> D
     by_doc = left.groupBy("_k1", "_k2").agg(F.sort_array(F.collect_set("pos")).alias("at"))
     wanted = written(by_doc, "anchors-left")
     # an equal row repeats all surroundings of its twin; one of them is enough
-    texts = docs.join(small(wanted, F.size("at") * 4), ["_k1", "_k2"])
+    texts = docs.join(hashed(wanted), ["_k1", "_k2"])
 
     def run(batches):
         for b in batches:
@@ -391,7 +391,7 @@ def with_spans(
         both = spans.unionByName(more).groupBy("_k1", "_k2")
         spans = written(both.agg(F.flatten(F.collect_list("_spans")).alias("_spans")), "all-spans")
     keyed = _keyed(rows, doc, text)
-    return keyed.join(small(spans, F.size("_spans") * 16), ["_k1", "_k2"], "left").select(
+    return keyed.join(hashed(spans), ["_k1", "_k2"], "left").select(
         *rows.columns, "_spans"
     )
 
