@@ -36,15 +36,24 @@ def _path(u: str) -> str:
     return f"coalesce(regexp_extract({u}, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"
 
 
+def _undotted(p: str) -> str:
+    kept = (
+        f"list_reduce(list_transform(string_split({p}, '/'), lambda s: [s]), lambda a, s: CASE WHEN s[1] = '.' THEN a"
+        " WHEN s[1] = '..' THEN CASE WHEN len(a) > 1 THEN a[:-2] ELSE a END ELSE list_concat(a, s) END)"
+    )
+    return f"array_to_string({kept}, '/') || CASE WHEN regexp_matches({p}, '/[.][.]?$') THEN '/' ELSE '' END"
+
+
 def _address(u: str) -> str:
     query = f"regexp_extract({u}, '(?s)^.*?://[^?#]*([?][^#]*)', 1)"
-    return f"CASE WHEN contains({u}, '://') THEN {_host(u)} || CASE WHEN {_path(u)} = '' THEN '/' ELSE {_path(u)} END || {query} END"  # noqa: E501
+    path = f"CASE WHEN {_path(u)} = '' THEN '/' ELSE {_undotted(_path(u))} END"
+    return f"CASE WHEN contains({u}, '://') THEN {_host(u)} || {path} || {query} END"
 
 
 def _attribute(tag: str, name: str) -> str:
     quoted = url_filter.ATTRIBUTE.replace("'", "''")
     parts = " || ".join(f"regexp_extract({tag}, '(?i)\\s{name}{quoted}', {i})" for i in (1, 2, 3))
-    return f"nullif(trim({parts}), '')"
+    return f"nullif(trim(replace({parts}, '&amp;', '&')), '')"
 
 
 def _rule(host: str, path: str, column: str) -> str:

@@ -6,11 +6,13 @@ addresses to components (distributed, see ``components``). An address without a
 its component's decision: allow if any address there is explicitly allowed, else block if any
 is blocked. What nothing decides is allowed.
 
-An address is host, path and query: scheme and fragment don't tell pages apart. Relative links are
-resolved against the page.
+An address is host, path and query: scheme and fragment don't tell pages apart, nor do ``.`` and ``..``
+in a path. Relative links are resolved against the page; ``&amp;`` in a link is ``&``. Rules fit the path as the
+page's URL writes it.
 
 Defined results. Null URL or one without ``://``: empty host and path, no rule, no address, allowed.
-Null page text: no edges. Repeated rows: each is judged. Extra columns are ignored; an empty table
+Null page text: no edges. Ties of rules: the one that sorts first. Repeated rows: each is judged. Very long
+texts are searched whole; a link's tag ends at the first ``>``. Extra columns are ignored; an empty table
 gives an empty result.
 """
 
@@ -46,10 +48,23 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def undotted(path: Column) -> Column:
+    """A path without the segments ``.`` and ``..``, the latter taking the one before it along."""
+    kept = F.aggregate(
+        F.split(path, "/"),
+        F.array().cast("array<string>"),
+        lambda acc, x: F.when(x == ".", acc)
+        .when(x == "..", F.when(F.size(acc) > 1, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc))
+        .otherwise(F.concat(acc, F.array(x))),
+    )
+    ended = F.when(path.rlike(r"/\.\.?$"), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(F.contains(path, F.lit("/.")), F.array_join(ended, "/")).otherwise(path)
+
+
 def address_of(url: Column) -> Column:
     """Host, path and query; null without ``://``."""
     query = F.regexp_extract(url, r"(?s)^.*?://[^?#]*(\?[^#]*)", 1)
-    path = path_of(url)
+    path = undotted(path_of(url))
     whole = F.concat(host_of(url), F.when(path == "", "/").otherwise(path), query)
     return F.when(F.contains(url, F.lit("://")), whole)
 
@@ -68,7 +83,7 @@ def _attribute(tag: Column, name: str) -> Column:
     """The value of an attribute of a tag; null if it has none."""
     pattern = rf"(?i)\s{name}{ATTRIBUTE}"
     parts = [F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)]
-    return F.nullif(F.trim(F.concat(*parts)), F.lit(""))
+    return F.nullif(F.trim(F.replace(F.concat(*parts), F.lit("&amp;"), F.lit("&"))), F.lit(""))
 
 
 def _resolved(link: Column, url: Column) -> Column:
