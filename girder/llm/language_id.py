@@ -7,12 +7,18 @@ start at zero, so subwords that were never seen draw the average to no language.
 calibrated on held-back sample texts by a temperature, and a text is rejected if its probability stays
 under a threshold that keeps all but a thousandth of the rightly named calibration texts.
 
-For prediction embeddings and softmax collapse into one table of subword scores for each language,
-which goes out with the tasks: 2**BITS rows, whatever the corpus.
+The model goes out with the tasks: 2**BITS rows of at most ``DIMENSIONS`` numbers and as many for each
+language. If there are fewer languages than dimensions, embeddings and softmax collapse into one
+table of subword scores for each language, which tells the same.
+
+The sample is drawn in one pass: each language is thinned by a hash of the text to some three times its
+part, equal texts count once, and what is left is ranked by the hash.
 
 Defined results. Null text or text without a letter: ``und``, score 0, rejected. Rows without a label
 aren't learned from. A corpus without labelled rows: every text is ``und``. Ties: the language
-that sorts first. Repeated rows: each by itself. Extra columns are ignored.
+that sorts first. Repeated rows: each by itself, learned from once. A text longer than
+``MAX_SAMPLE_BYTES`` isn't learned from; every text is predicted whole, in rounds that hold one very
+long text at most. An empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,19 +27,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from girder.llm.common import lean, rounds, utf8
+from girder.llm.common import lean, rounds, small, utf8
 from girder.llm.ngrams import grams, has_letter, symbols
 
 SIZES = (2, 3, 4)
 BITS = 17
 DIMENSIONS = 12
-#: Bounds of the sample: texts for each language, languages, and bytes of a text (longer ones are not
-#: learned from; all texts are predicted whole).
+#: Bounds of the sample: texts for each language, bytes of all texts (in equal parts for the languages, but
+#: one text each), and bytes of a text (longer ones are not learned from; all texts are predicted whole).
 SAMPLE_PER_LANGUAGE = 700
-MAX_LANGUAGES = 200
+SAMPLE_BYTES = 96 << 20
 MAX_SAMPLE_BYTES = 50_000
 EPOCHS = 6
 MAX_THRESHOLD = 0.4
@@ -44,14 +50,15 @@ ROUND = 1 << 18
 @dataclass
 class Model:
     languages: list[str]
-    table: np.ndarray  # bucket x language
+    table: np.ndarray  # bucket x language, or bucket x dimension
     bias: np.ndarray
     temperature: float
     threshold: float
+    weights: np.ndarray | None = None  # dimension x language, if the table isn't of languages
 
     def logits(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Scores of each language, and whether the text has a letter."""
-        n, width = len(texts), len(self.languages)
+        n, width = len(texts), self.table.shape[1]
         found = symbols(texts)
         sums, count = np.zeros((n, width)), np.zeros(n)
         for bucket, whose in grams(found, SIZES, BITS):
@@ -59,7 +66,9 @@ class Model:
             starts = np.flatnonzero(np.concatenate(([True], whose[1:] != whose[:-1])))
             if len(bucket):
                 sums[whose[starts]] += np.add.reduceat(self.table[bucket], starts, axis=0)
-        return sums / np.maximum(count, 1)[:, None] + self.bias, has_letter(found, n)
+        means = sums / np.maximum(count, 1)[:, None]
+        scores = means if self.weights is None else means @ self.weights
+        return scores + self.bias, has_letter(found, n)
 
     def predict(self, texts: list[bytes]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, calibrated probability and rejection of each text."""
@@ -89,25 +98,26 @@ def sample(docs: DataFrame, text_col: str, label_col: str, usable: Column | None
         F.col("lang").isNotNull() & F.col("text").isNotNull()
         & (F.octet_length("text") <= MAX_SAMPLE_BYTES)
     )
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    sizes = {r["lang"]: r["count"] for r in counts.collect()}
-    if not sizes:
+    hashed = rows.withColumn("h", F.xxhash64("text"))
+    # a row for each language: how many distinct texts it has, about
+    sizes = hashed.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
+    languages = sizes.count()
+    if not languages:
         return []
-    # thin each language by its hash before the sort, to some three times the sample
-    share = F.create_map(
-        *[
-            F.lit(x)
-            for k, n in sizes.items()
-            for x in (k, max(1, n // (3 * SAMPLE_PER_LANGUAGE)))
-        ]
-    )
-    hashed = rows.withColumn("h", F.xxhash64("text")).withColumn("every", share[F.col("lang")])
-    thin = hashed.filter("every IS NOT NULL AND pmod(h, every) = 0")
-    picked = [
-        thin.filter(F.col("lang") == k).orderBy("h", "text").limit(SAMPLE_PER_LANGUAGE)
-        for k in sorted(sizes)
-    ]
-    return [(r["lang"], r["text"]) for p in picked for r in p.select("lang", "text").collect()]
+    every = F.greatest(F.lit(1), F.floor(F.col("n") / (3 * SAMPLE_PER_LANGUAGE)))
+    thin = hashed.join(small(sizes.select("lang", every.alias("every")), F.octet_length("lang")), "lang")
+    thin = thin.filter(F.pmod("h", "every") == 0).dropDuplicates(["lang", "h"])
+    order = Window.partitionBy("lang").orderBy("h", "text")
+    ranked = thin.select(
+        "lang", "text", F.row_number().over(order).alias("k"),
+        F.sum(F.octet_length("text").cast("long")).over(order).alias("bytes"),
+    )
+    part = max(SAMPLE_BYTES // languages, 1)
+    kept = ranked.filter(
+        (F.col("k") <= SAMPLE_PER_LANGUAGE) & ((F.col("bytes") <= part) | (F.col("k") == 1))
+    ).collect()
+    kept.sort(key=lambda r: (r["lang"], r["k"]))
+    return [(r["lang"], r["text"]) for r in kept]
 
 
 def _features(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -179,8 +189,9 @@ def fit(labelled: list[tuple[str, str]], seed: int = 1) -> Model:
             weights -= 0.02 * np.outer(x, p)
             bias -= 0.001 * p
             embedded[ids] -= rate * f[:, None] * back
-    table = embedded @ weights
-    model = Model(languages, table.astype(np.float32), bias.astype(float), 1.0, 0.0)
+    narrow = width <= DIMENSIONS
+    table = (embedded @ weights if narrow else embedded).astype(np.float32)
+    model = Model(languages, table, bias.astype(float), 1.0, 0.0, None if narrow else weights.astype(float))
     check = np.flatnonzero(place_of < held) if held else np.arange(len(all_texts))
     logits, known = model.logits([all_texts[i] for i in check])
     logits, truth = logits[known], all_labels[check][known]

@@ -114,3 +114,103 @@ def test_toxicity_odd_rows(spark):
     assert got[103] >= 0.3 and got[100] == got[101] == got[102] < 0.3
     nothing = toxicity.learn(df.drop("toxic").limit(0), labels)
     assert {r.score for r in toxicity.score(df, nothing).collect()} == {0.0}
+
+
+def brute_score(model, text):
+    """A text's toxicity by a plain loop over its distinct features."""
+    import math
+
+    features = set()
+    for size in toxicity.SIZES:
+        for bucket, _ in grams(symbols([text.encode()]), (size,), toxicity.BITS):
+            features |= set(bucket.tolist())
+    z = model.bias + sum(float(model.weights[f]) for f in sorted(features))
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
+def test_toxicity_query_against_loops(spark):
+    """The query's rows, by the model learned from labels that aren't held out, scored by plain loops."""
+    import zlib
+
+    from girder.llm import registry
+
+    sf_dir = "/root/testdata/sf0.001"
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    model = toxicity.learn(docs, labels, ~held_out())
+    assert (model.weights > 0).any()
+    got = {r.doc_id: r for r in registry.op2_toxicity(spark, sf_dir).collect()}
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert got.keys() == texts.keys()
+    for i, t in texts.items():
+        assert abs(got[i].score - brute_score(model, t)) < 1e-6
+        assert got[i].predicted == (got[i].score >= 0.3)
+        assert got[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2)
+
+
+def test_held_out_labels_change_nothing(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    turned = labels.withColumn("toxic", F.when(held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    more = turned.unionByName(spark.range(10**6, 10**6 + 20_000).select(F.col("id").alias("doc_id"), F.lit(0).alias("quality"), F.lit(1).alias("toxic")).filter(held_out()))
+    a, b = (toxicity.sample(docs, x, ~held_out(), "doc_id", "text") for x in (labels, more))
+    assert a == b
+    relabelled = docs.withColumn("lang", F.when(held_out(), F.lit("xx")).otherwise(F.col("lang")))
+    x, y = (language_id.sample(d, "text", "lang", ~held_out()) for d in (docs, relabelled))
+    assert x == y and {k for k, _ in x} == {"de", "en", "es", "fr"}
+
+
+def test_samples_are_bounded_and_take_copies_once(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_PER_LANGUAGE", 50)
+    monkeypatch.setattr(toxicity, "SAMPLE_TOXIC", 30)
+    monkeypatch.setattr(toxicity, "SAMPLE_CLEAN", 40)
+    rows = [(i, f"text number {i} here" if i % 3 else "the same copy", "en" if i % 2 else "de", i % 2) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    found = language_id.sample(df, "text", "lang", None)
+    assert sum(t == "the same copy" for _, t in found) <= 2
+    assert 30 <= sum(k == "en" for k, _ in found) <= 50 and 30 <= sum(k == "de" for k, _ in found) <= 50
+    texts, labels = toxicity.sample(df.select("doc_id", "text"), df.select("doc_id", "toxic"), None, "doc_id", "text")
+    assert len(texts) == len(set(zip(texts, labels)))
+    assert 20 <= sum(labels) <= 30 and 20 <= len(labels) - sum(labels) <= 40
+    monkeypatch.setattr(language_id, "SAMPLE_BYTES", 200)
+    assert sum(len(t) for _, t in language_id.sample(df, "text", "lang", None)) <= 200
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 100)
+    assert sum(map(len, toxicity.sample(df.select("doc_id", "text"), df.select("doc_id", "toxic"), None, "doc_id", "text")[0])) <= 200
+
+
+def test_language_query_against_loops(spark):
+    """Averaged embeddings, softmax, calibration and rejection by plain loops over n-grams."""
+    import math
+
+    from girder.llm import registry
+
+    sf_dir = "/root/testdata/sf0.001"
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.learn(docs, ~held_out())
+    got = {r.doc_id: r for r in registry.op6_language_id(spark, sf_dir).collect()}
+    for r in docs.collect():
+        total, n = np.zeros(len(model.languages)), 0
+        for size in language_id.SIZES:
+            for bucket, _ in grams(symbols([(r.text or "").encode()]), (size,), language_id.BITS):
+                for b in bucket.tolist():
+                    total += model.table[b]
+                    n += 1
+        z = (total / max(n, 1) + model.bias) / model.temperature
+        p = [math.exp(x - max(z)) / sum(math.exp(y - max(z)) for y in z) for x in z]
+        known = any(c.isalpha() for c in r.text or "")
+        best = max(range(len(p)), key=lambda k: p[k])
+        row = got[r.doc_id]
+        assert row.lang_pred == (model.languages[best] if known else "und")
+        assert abs(row.score - (p[best] if known else 0.0)) < 1e-6
+        assert row.rejected == (not known or row.score < model.threshold)
+
+
+def test_more_languages_than_dimensions():
+    rng = random.Random(5)
+    names = [f"l{k:02d}" for k in range(20)]
+    words = {n: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(30)] for n in names}
+    rows = [(n, " ".join(rng.choices(words[n], k=20))) for n in names for _ in range(12)]
+    model = language_id.fit(rows)
+    assert model.table.shape[1] == language_id.DIMENSIONS and len(model.languages) == 20
+    fresh = [(n, " ".join(rng.choices(words[n], k=20))) for n in names]
+    found = model.predict([t.encode() for _, t in fresh])[0]
+    assert sum(a == n for a, (n, _) in zip(found, fresh)) >= 18
