@@ -7,7 +7,7 @@ sample and shared by all frames. A file has
 
 and the index tells of each document its id, the offset and length of its frame and its ids, so one document
 is read by two small reads. Ids are little-endian, two bytes wide if the vocabulary allows. Files hold runs
-of ascending document ids; the run bounds are quantiles of the ids, so no file depends on another.
+of ascending document ids, dealt by one range partitioning, so no file depends on another.
 Files are written under a name of their attempt and then renamed, and only the files that the writing
 tasks report are read: lost executors leave no half file behind.
 
@@ -15,8 +15,8 @@ A text is cut at ASCII white space, which no token crosses; the library encodes
 a bounded cache serves the rest.
 
 Defined results. Null text: no ids but the end id. Null document ids come first; repeated rows each have
-their frame, ties are ordered by a hash of the text. An empty table: no files, an empty result. Extra columns
-are ignored. Texts are encoded whole.
+their frame, ties are ordered by a hash of the text, then the place in the table. An empty table: no files, an
+empty result. Extra columns are ignored. Texts are encoded whole, a very long one in a round of its own.
 """
 
 from __future__ import annotations
@@ -31,11 +31,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from girder.llm.common import lean, rounds, shared_folder, utf8
+from girder.llm.common import deleted, lean, rounds, scratch, utf8, written
 
 MAGIC = b"GTOKENS1"
 #: Bounds of the dictionary's sample, and its size in bytes.
@@ -44,8 +45,9 @@ MAX_SAMPLE_BYTES = 20_000
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
 CACHE_CHUNKS = 400_000
-FILE_DOCUMENTS = 5000
-MAX_FILES = 4096
+#: Bounds of a file, by the average: documents, and bytes of frames.
+FILE_DOCUMENTS = 20_000
+FILE_BYTES = 64 << 20
 ROUND = 1 << 18
 _INDEX = np.dtype([("id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("length", "<u8"), ("n", "<u8")])
 #: 1: ASCII letters and digits, 2: stops, 3: white space.
@@ -147,7 +149,7 @@ def _sampled(docs: DataFrame, definition, end_id: int) -> list[bytes]:
     hashed = texts.select("text", F.xxhash64("text").alias("h"))
     # an even part of the hashes first, so that only few texts are sorted
     every = max(1, docs.count() // (4 * SAMPLE_DOCUMENTS))
-    few = hashed.filter(F.pmod("h", F.lit(every)) == 0).orderBy("h", "text")
+    few = hashed.filter(F.pmod("h", F.lit(every)) == 0).dropDuplicates(["h"]).orderBy("h", "text")
     few = few.limit(SAMPLE_DOCUMENTS).select("text")
 
     def run(batches):
@@ -165,25 +167,34 @@ def _sampled(docs: DataFrame, definition, end_id: int) -> list[bytes]:
 class _File:
     """A file being written under the name of its attempt."""
 
-    def __init__(self, folder: str, bucket: int, width: int, digest: bytes) -> None:
+    def __init__(self, folder: str, part: int, width: int, digest: bytes) -> None:
         self.fs, base = _filesystem(folder)
         self.fs.create_dir(base, recursive=True)
-        self.name = f"{base}/run-{bucket:05d}-{uuid.uuid4().hex}.tokens"
+        self.name = f"{base}/run-{part:07d}-{uuid.uuid4().hex}.tokens"
         self.stream = self.fs.open_output_stream(self.name + ".part")
         self.at = 0
-        self.rows: list[tuple] = []
+        self.index: list[np.ndarray] = []
         self.put(MAGIC + struct.pack("<I", width) + digest)
 
     def put(self, data: bytes) -> None:
         self.stream.write(data)
         self.at += len(data)
 
-    def add(self, doc: int | None, n: int, frame: bytes) -> None:
-        self.rows.append((doc or 0, doc is None, self.at, len(frame), n))
-        self.put(frame)
+    def add(self, batch: pa.RecordBatch) -> None:
+        """The documents of a batch: id, n and frame."""
+        rows = np.zeros(batch.num_rows, _INDEX)
+        frames = batch.column("frame").to_pylist()
+        ids = batch.column("id")
+        rows["id"] = ids.fill_null(0).to_numpy(zero_copy_only=False)
+        rows["null"] = ids.is_null().to_numpy(zero_copy_only=False)
+        rows["n"] = batch.column("n").to_numpy(zero_copy_only=False)
+        rows["length"] = np.fromiter(map(len, frames), np.int64, len(frames))
+        rows["offset"] = self.at + np.cumsum(rows["length"]) - rows["length"]
+        self.index.append(rows)
+        self.put(b"".join(frames))
 
     def close(self) -> tuple[str, int, int]:
-        index = np.array(self.rows, _INDEX)
+        index = np.concatenate(self.index)
         at = self.at
         self.put(index.tobytes())
         self.put(struct.pack("<QQ", at, len(index)) + MAGIC)
@@ -200,12 +211,15 @@ def write(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> tuple[str, DataFrame]:
-    """Writes the files; their folder, and bucket, path, n_docs, n_tokens of each file.
+    """Writes the files; their folder, and part, path, n_docs, n_tokens of each file.
+
+    The frames are written once and then dealt by ranges of (id, hash of the text, place in the table): any
+    number of rows can share an id, or be equal, and still go to many files.
 
     definition: the text of a tokenizer file, which goes out with the tasks.
     """
     spark = docs.sparkSession
-    folder = folder or f"{shared_folder(spark).rstrip('/')}/girder/tokens-{uuid.uuid4().hex}"
+    folder = folder or scratch(spark, "tokens")
     texts = docs.select(
         F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
@@ -218,12 +232,6 @@ def write(
         f.write(dictionary)
     words = spark.sparkContext.broadcast(dictionary)
 
-    count = texts.count()
-    wanted = min(MAX_FILES, max(1, count // FILE_DOCUMENTS))
-    shares = [i / wanted for i in range(1, wanted)]
-    row = texts.agg(F.percentile_approx("id", shares, 10_000)).collect()[0] if shares else [None]
-    bounds = np.array(sorted(set(row[0] or [])), np.int64)
-
     def encode(batches):
         coder = _coder(shared.value)
         press = zstandard.ZstdCompressor(
@@ -236,49 +244,44 @@ def write(
             for i, j in rounds(at, ROUND):
                 part = at[i : j + 1].tolist()
                 ids = [x + end for x in coder.encode([data[x:y] for x, y in zip(part, part[1:])])]
-                doc = b.column("id").slice(i, j - i)
-                keys = doc.fill_null(np.iinfo(np.int64).min).to_numpy()
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.searchsorted(bounds, keys, "right").astype(np.int32)),
-                        doc,
+                        b.column("id").slice(i, j - i),
                         b.column("tie").slice(i, j - i),
+                        b.column("row").slice(i, j - i),
                         pa.array([len(x) // len(end) for x in ids], pa.int64()),
                         pa.array([press.compress(x) for x in ids], pa.binary()),
                     ],
-                    ["bucket", "id", "tie", "n", "frame"],
+                    ["id", "tie", "row", "n", "frame"],
                 )
 
-    frames = texts.withColumn("tie", F.xxhash64("text")).mapInArrow(
-        lean(encode), "bucket int, id long, tie long, n long, frame binary"
-    )
-    files = len(bounds) + 1
-    dealt = frames.repartition(files, "bucket").sortWithinPartitions(
-        F.asc("bucket"), F.asc_nulls_first("id"), F.asc("tie")
+    keyed = texts.withColumn("tie", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
+    frames = written(
+        keyed.mapInArrow(lean(encode), "id long, tie long, row long, n long, frame binary"), "frames"
     )
+    count, size = frames.agg(F.count(F.lit(1)), F.sum(F.octet_length("frame").cast("long"))).collect()[0]
+    files = max(1, -(-count // FILE_DOCUMENTS), -(-(size or 0) // FILE_BYTES))
+    order = [F.asc_nulls_first("id"), F.asc("tie"), F.asc("row")]
+    dealt = frames.repartitionByRange(files, *order).sortWithinPartitions(*order)
 
     def put(batches):
-        width = np.dtype(_coder(shared.value).kind).itemsize
-        open_file, bucket, done = None, None, []
+        part, file = TaskContext.get().partitionId(), None
         for b in batches:
-            for k, doc, n, frame in zip(*(b.column(c).to_pylist() for c in ("bucket", "id", "n", "frame"))):
-                if k != bucket:
-                    if open_file is not None:
-                        done.append((bucket, *open_file.close()))
-                    open_file, bucket = _File(folder, k, width, digest), k
-                open_file.add(doc, n, frame)
-        if open_file is not None:
-            done.append((bucket, *open_file.close()))
-        if done:
-            kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64()]
+            if file is None and b.num_rows:
+                width = np.dtype(_coder(shared.value).kind).itemsize
+                file = _File(folder, part, width, digest)
+            if b.num_rows:
+                file.add(b)
+        if file is not None:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*done), kinds)],
-                ["bucket", "path", "n_docs", "n_tokens"],
+                [pa.array([x], t) for x, t in zip((part, *file.close()), [pa.int32(), pa.string(), pa.int64(), pa.int64()])],
+                ["part", "path", "n_docs", "n_tokens"],
             )
 
-    schema = "bucket int, path string, n_docs long, n_tokens long"
-    # a row for each file, MAX_FILES at most: the manifest that readers go by
-    made = dealt.select("bucket", "id", "n", "frame").mapInArrow(lean(put), schema).collect()
+    schema = "part int, path string, n_docs long, n_tokens long"
+    # a row for each task: the manifest that readers go by
+    made = dealt.select("id", "n", "frame").mapInArrow(lean(put), schema).collect()
+    deleted(frames)
     return folder, spark.createDataFrame([tuple(r) for r in sorted(made)], schema)
 
 
@@ -315,7 +318,7 @@ def read(folder: str, files: DataFrame, with_ids: bool = False) -> DataFrame:
     with fs.open_input_stream(f"{base}/dictionary") as f:
         dictionary = spark.sparkContext.broadcast(f.read())
     before, jobs = 0, []
-    for r in sorted(files.collect()):  # MAX_FILES at most
+    for r in sorted(files.collect()):  # a row for each file
         jobs.append((r["path"], before))
         before += r["n_tokens"]
     if not jobs:

@@ -53,8 +53,10 @@ def test_files_round_trip(spark, definition, monkeypatch, per_file):
         key=lambda x: x[0],
     )
     got = sorted(got, key=lambda r: r.start)
-    assert [r.id if r.id is not None else -(10**9) for r in got] == [i for i, _ in want]
-    assert sorted(map(str, (r.ids for r in got))) == sorted(map(str, (x for _, x in want)))
+    named = [(r.id if r.id is not None else -(10**9), list(r.ids)) for r in got]
+    assert [i for i, _ in named] == [i for i, _ in want]
+    assert sorted(named) == sorted(want)
+    assert files.count() >= (9 if per_file == 7 else 1)
     start = 0
     for r in got:
         assert r.start == start and r.n_tokens == len(r.ids)
@@ -62,6 +64,38 @@ def test_files_round_trip(spark, definition, monkeypatch, per_file):
         start += len(r.ids)
 
 
+@pytest.mark.parametrize("rows", [[(7, "same words")] * 90, [(None, f"text {i}") for i in range(90)]])
+def test_rows_that_share_an_id_go_to_many_files(spark, definition, monkeypatch, rows):
+    monkeypatch.setattr(op, "FILE_DOCUMENTS", 10)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    folder, files = op.write(df, definition, 2)
+    assert files.count() >= 6 and max(r.n_docs for r in files.collect()) <= 30
+    assert op.read(folder, files).count() == 90
+
+
+def test_files_are_bounded_by_bytes(spark, definition, monkeypatch):
+    monkeypatch.setattr(op, "FILE_BYTES", 2000)
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices(["alpha", "beta", "gamma", "delta"], k=400))) for i in range(60)]
+    folder, files = op.write(spark.createDataFrame(rows, "doc_id long, text string"), definition, 2)
+    assert files.count() >= 3
+    assert [r.id for r in sorted(op.read(folder, files).collect(), key=lambda r: r.start)] == list(range(60))
+
+
+def test_query_ties_ids_to_documents(spark, sf_dir):
+    from girder.llm import registry
+
+    library = Tokenizer.from_file(PATH)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    got = {r.doc_id: r for r in registry.op7_token_files(spark, sf_dir).collect()}
+    start = 0
+    for r in sorted(docs, key=lambda r: r.doc_id):
+        ids = library.encode(r.text or "", add_special_tokens=False).ids + [2]
+        assert (got[r.doc_id].start, got[r.doc_id].n_tokens) == (start, len(ids))
+        assert got[r.doc_id].ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+        start += len(ids)
+
+
 def test_empty_table(spark, definition):
     df = spark.createDataFrame([], "doc_id long, text string")
     folder, files = op.write(df, definition, 2)
