@@ -7,17 +7,22 @@ always hit. Hashes of the benchmark and of the training texts are joined; around
 are laid side by side and the overlap is verified, tolerant of substitutions.
 
 A training text is contaminated by an item if ``WINDOW`` words in a row (all words of a shorter item)
-agree with it in a share of ``SIMILARITY`` at least. Items of fewer than ``MIN_WORDS`` words could
-be found anywhere by chance; they are not searched.
+agree with it in a share of ``SIMILARITY`` at least; items of fewer than five words must so be met word for
+word. Items are searched from ``MIN_WORDS`` words on, so all that have a word; who deems short ones to
+be chance leaves them out of the benchmark.
 
 The training side is filtered by a bitmap of the benchmark's hashes before the join. The bitmap goes
 out only if the benchmark has at most ``BITMAP_HASHES`` hashes, a counted bound; beyond, all hashes
-meet in the join. Only the words around hits leave the scan.
+meet in the join. Only the words around hits leave the scan. The benchmark's seeds and words are broadcast
+if their bytes, counted, are few; beyond, hits meet them in a shuffled join in which seeds and items that very
+many documents hit are dealt among tasks.
 
 Defined results. Null or empty text on either side: no overlap. Words are runs of ASCII letters and
 digits and of any other characters beyond ASCII; A to Z count as lower case. Repeated items each
-give a row; repeated documents share one. Null ids are kept. Extra columns pass through ``clean``; an
-empty benchmark or table gives an empty result.
+give a row; repeated documents share one. Of several overlaps with an item the widest is told, of equally
+wide ones that with the most matches, then the first. Null ids are kept. Texts are read whole, a very long
+one in a round of its own, and only what is around its hits is kept. Extra columns pass through ``clean``
+under any names; an empty benchmark or table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,15 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from girder.llm.common import anti, lean, renamed, rounds, utf8, written
+from girder.llm.common import anti, fits, lean, renamed, rounds, split_join, utf8, written
 from girder.llm.repeats import _BASES, _Hashes, _keyed
 
 WINDOW = 12
 SIMILARITY = 0.8
-MIN_WORDS = 5
+MIN_WORDS = 1
 BITMAP_HASHES = 4_000_000
-#: Rows of the benchmark that a join broadcasts.
-BROADCAST_ITEMS = 20_000
 ROUND = 1 << 18
 
 _WORD = np.zeros(256, bool)
@@ -64,7 +67,7 @@ def masks(length: int, similarity: float = SIMILARITY) -> tuple[tuple[int, ...],
         for rest in combinations(range(1, length), weight - 1):
             mask = (0, *rest)
             found = set()
-            for shift in range(length - rest[-1]):
+            for shift in range(length - mask[-1]):
                 at = {shift + o for o in mask}
                 found |= {b for b in bad if at.isdisjoint(b)}
             if len(found) > len(hit):
@@ -290,17 +293,25 @@ def overlaps(
     if not all_masks:
         keyed = keyed.limit(0)
     regions = written(_regions(keyed, all_masks or [(0,)], longest, bitmap), "regions")
-    small = items.count() <= BROADCAST_ITEMS
-    side = F.broadcast if small else (lambda x: x)
-    met = _hit_rows(regions).join(side(planted), "seed").select(
-        "_k1", "_k2", "first", "row", (F.col("at") - F.col("place")).alias("shift")
-    )
-    pairs = met.distinct()
+    hits = _hit_rows(regions)
+    if fits(planted):
+        seeded = hits.join(F.broadcast(planted), "seed")
+    else:
+        sizes = hits.groupBy("seed").count()
+        lists = planted.groupBy("seed").agg(F.collect_list(F.struct("row", "place")).alias("in"))
+        side = written(lists.join(sizes, "seed"), "seed-lists")
+        seeded = split_join(hits, side, ["seed"], "inner", hits.count()).select("*", F.inline("in"))
+    pairs = seeded.select("_k1", "_k2", "first", "row", (F.col("at") - F.col("place")).alias("shift")).distinct()
     texts = regions.select("_k1", "_k2", "id", "first", "tokens").dropDuplicates(["_k1", "_k2", "first"])
-    beside = (
-        pairs.join(texts, ["_k1", "_k2", "first"])
-        .join(side(items.select("row", "item", F.col("tokens").alias("item_tokens"))), "row")
-    )
+    tokens = items.select("row", "item", F.col("tokens").alias("item_tokens"))
+    laid = pairs.join(texts, ["_k1", "_k2", "first"])
+    if fits(tokens, F.octet_length("item_tokens")):
+        beside = laid.join(F.broadcast(tokens), "row")
+    else:
+        pairs = written(pairs, "pairs")
+        side = written(tokens.join(pairs.groupBy("row").count(), "row"), "items-hit")
+        laid = pairs.join(texts, ["_k1", "_k2", "first"])
+        beside = split_join(laid, side, ["row"], "inner", pairs.count())
     schema = beside.select("_k1", "_k2", "id", "item").schema
     for name in ("start", "end", "matches"):
         schema = schema.add(name, "integer")
