@@ -9,16 +9,19 @@ from girder.llm import common
 from girder.llm import repeats as op
 
 
+def brute_spans(texts, window):
+    seen = Counter(hash(t[i : i + window]) for t in texts for i in range(len(t) - window + 1))
+    return [
+        op.merged([(i, i + window) for i in range(len(t) - window + 1) if seen[hash(t[i : i + window])] > 1])
+        for t in texts
+    ]
+
+
 def brute(texts, window):
-    seen = Counter(t[i : i + window] for t in texts for i in range(len(t) - window + 1))
-    out = []
-    for t in texts:
-        spans = [
-            (i, i + window) for i in range(len(t) - window + 1) if seen[t[i : i + window]] > 1
-        ]
-        cut = op.merged(spans)
-        out.append((len(t), sum(b - a for a, b in cut), len(cut), op.kept_bytes(t, cut)))
-    return out
+    return [
+        (len(t), sum(b - a for a, b in cut), len(cut), op.kept_bytes(t, cut))
+        for t, cut in zip(texts, brute_spans(texts, window))
+    ]
 
 
 def cases(rng, window):
