@@ -21,9 +21,18 @@ gaps AS (
   UNION ALL SELECT doc_id, coalesce(max(z), 0), any_value(n) FROM d LEFT JOIN runs USING (doc_id) GROUP BY doc_id),
 kept AS (
   SELECT doc_id, string_agg(CASE WHEN x < y THEN hex(array_slice(b, x + 1, y)) ELSE '' END, '' ORDER BY x) AS k
-  FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+  FROM gaps JOIN d USING (doc_id) GROUP BY doc_id),
+t AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \\t-\\r]+'), lambda x: x <> '') AS ws FROM documents),
+p AS (
+  SELECT doc_id, unnest(list_transform(range(1, len(ws) - 49),
+    lambda i: {{'i': i, 'h': md5(array_to_string(ws[i:i + 50], ' '))}})) AS x FROM t),
+again AS (SELECT x.h AS h FROM p GROUP BY 1 HAVING count(*) > 1),
+passages AS (
+  SELECT doc_id, count(DISTINCT j) AS n FROM (
+    SELECT doc_id, unnest(range(x.i, x.i + 51)) AS j FROM p WHERE x.h IN (SELECT h FROM again)) GROUP BY doc_id)
 SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(n - length(k) / 2 AS BIGINT) AS n_removed,
-  coalesce((SELECT count(*) FROM runs WHERE runs.doc_id = d.doc_id), 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
+  coalesce((SELECT count(*) FROM runs WHERE runs.doc_id = d.doc_id), 0) AS n_spans, sha256(unhex(k)) AS kept_sha256,
+  coalesce((SELECT n FROM passages WHERE passages.doc_id = d.doc_id), 0) AS n_passage_words
 FROM d JOIN kept USING (doc_id)
 """
 

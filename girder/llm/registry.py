@@ -20,10 +20,16 @@ from girder.llm import (
     token_files,
     toxicity,
     url_filter,
+    word_windows,
 )
 from girder.llm.common import held_out, table, written
 
 
+#: A passage of over 50 words.
+PASSAGE_WORDS = 51
+PASSAGE_WORDS_GRAM = 17
+
+
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
     found = decontaminate.overlaps(docs, benchmark)
@@ -98,14 +104,21 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = repeats.removed(table(spark, sf_dir, "documents"))
-    return found.select(
+    """Beside the contract's columns: how many words lie in passages of over 50 words that stand elsewhere too,
+    however few bytes they take."""
+    docs = table(spark, sf_dir, "documents")
+    found = repeats.removed(docs).select(
+        "_k1",
+        "_k2",
         F.col("id").alias("doc_id"),
         "n_bytes",
         "n_removed",
         "n_spans",
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+    passages = word_windows.covered(docs, PASSAGE_WORDS, PASSAGE_WORDS_GRAM)
+    joined = found.join(passages, ["_k1", "_k2"], "left").drop("_k1", "_k2")
+    return joined.withColumn("n_passage_words", F.coalesce("n", F.lit(0)).cast("long")).drop("n")
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -381,10 +381,16 @@ def whole_chars(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, in
 
 
 def with_spans(
-    docs: DataFrame, more: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", **how
+    docs: DataFrame,
+    more: DataFrame | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keys: bool = False,
+    **how,
 ) -> DataFrame:
     """All rows and columns of docs, and last the spans (null: nothing is repeated). The columns are named
-    by place: c0, c1, ... ``more``: other spans of the same texts, which are added as they are."""
+    by place: c0, c1, ..., after the two keys if these are asked for. ``more``: other spans of the same texts,
+    which are added as they are."""
     rows, (doc, text) = renamed(docs, id_col, text_col)
     spans = repeated_spans(rows, doc, text, **how)
     if more is not None:
@@ -392,14 +398,14 @@ def with_spans(
         spans = written(both.agg(F.flatten(F.collect_list("_spans")).alias("_spans")), "all-spans")
     keyed = _keyed(rows, doc, text)
     return keyed.join(hashed(spans), ["_k1", "_k2"], "left").select(
-        *rows.columns, "_spans"
+        *(("_k1", "_k2") if keys else ()), *rows.columns, "_spans"
     )
 
 
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """id, n_bytes, n_removed, n_spans (maximal runs) and kept (bytes) of every row."""
-    rows = with_spans(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), id_col="id", **how)
-    rows = rows.toDF("id", "text", "_spans")
+    """_k1, _k2, id, n_bytes, n_removed, n_spans (maximal runs) and kept (bytes) of every row."""
+    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = with_spans(named, id_col="id", keys=True, **how).toDF("_k1", "_k2", "id", "text", "_spans")
 
     def run(batches):
         for b in batches:
@@ -413,11 +419,10 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **h
                 kept.append(kept_bytes(text, cut))
             cols = [pa.array(np.diff(at)), *(pa.array(x, pa.int64()) for x in (n_removed, n_spans))]
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), *cols, pa.array(kept, pa.binary())],
-                ["id", "n_bytes", "n_removed", "n_spans", "kept"],
+                [*b.columns[:3], *cols, pa.array(kept, pa.binary())], schema.names
             )
 
-    schema = rows.select("id").schema
+    schema = rows.select("_k1", "_k2", "id").schema
     for name in ("n_bytes", "n_removed", "n_spans"):
         schema = schema.add(name, "long")
     return rows.mapInArrow(lean(run), schema.add("kept", "binary"))
