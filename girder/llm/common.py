@@ -13,7 +13,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from py4j.protocol import Py4JError, Py4JNetworkError
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from girder.session import shared_folder
@@ -161,6 +161,24 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2
 
 
+def first_texts(rows: DataFrame, most: Column, budget: int) -> list[tuple]:
+    """(label, text) of the first ``most`` distinct texts of each label by a hash, whose bytes come to the
+    budget at most (but one text each). rows: label, text, none null, thinned to some times as many.
+
+    Hashes and sizes are ranked, and only the chosen texts are fetched, each once however often it stands there.
+    """
+    hashed = rows.withColumn("h", F.xxhash64("text"))
+    slim = hashed.groupBy("label", "h").agg(F.max(F.octet_length("text").cast("long")).alias("size"))
+    order = Window.partitionBy("label").orderBy("h")
+    ranked = slim.select(
+        "label", "h", F.row_number().over(order).alias("k"), F.sum("size").over(order).alias("bytes")
+    )
+    chosen = ranked.filter((F.col("k") <= most) & ((F.col("bytes") <= budget) | (F.col("k") == 1)))
+    found = hashed.join(F.broadcast(chosen.select("label", "h", "k")), ["label", "h"])
+    texts = found.groupBy("label", "k").agg(F.min("text").alias("text")).collect()
+    return [(r["label"], r["text"]) for r in sorted(texts, key=lambda r: (r["label"], r["k"]))]
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column in one array, and len + 1 offsets; null counts as empty."""
     if column.null_count:

@@ -11,8 +11,8 @@ The model goes out with the tasks: 2**BITS rows of at most ``DIMENSIONS`` number
 language. If there are fewer languages than dimensions, embeddings and softmax collapse into one
 table of subword scores for each language, which tells the same.
 
-The sample is drawn in one pass: each language is thinned by a hash of the text to some three times its
-part, equal texts count once, and what is left is ranked by the hash.
+The sample: each language is thinned by a hash of the text to some three times its part, equal texts count
+once, what is left is ranked by the hash, and the first are fetched: three scans, however many languages.
 
 Defined results. Null text or text without a letter: ``und``, score 0, rejected. Rows without a label
 aren't learned from. A corpus without labelled rows: every text is ``und``. Ties: the language
@@ -27,10 +27,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from girder.llm.common import lean, rounds, small, utf8
+from girder.llm.common import first_texts, lean, rounds, small, utf8
 from girder.llm.ngrams import grams, has_letter, symbols
 
 SIZES = (2, 3, 4)
@@ -106,18 +106,8 @@ def sample(docs: DataFrame, text_col: str, label_col: str, usable: Column | None
         return []
     every = F.greatest(F.lit(1), F.floor(F.col("n") / (3 * SAMPLE_PER_LANGUAGE)))
     thin = hashed.join(small(sizes.select("lang", every.alias("every")), F.octet_length("lang")), "lang")
-    thin = thin.filter(F.pmod("h", "every") == 0).dropDuplicates(["lang", "h"])
-    order = Window.partitionBy("lang").orderBy("h", "text")
-    ranked = thin.select(
-        "lang", "text", F.row_number().over(order).alias("k"),
-        F.sum(F.octet_length("text").cast("long")).over(order).alias("bytes"),
-    )
-    part = max(SAMPLE_BYTES // languages, 1)
-    kept = ranked.filter(
-        (F.col("k") <= SAMPLE_PER_LANGUAGE) & ((F.col("bytes") <= part) | (F.col("k") == 1))
-    ).collect()
-    kept.sort(key=lambda r: (r["lang"], r["k"]))
-    return [(r["lang"], r["text"]) for r in kept]
+    rows = thin.filter(F.pmod("h", "every") == 0).select(F.col("lang").alias("label"), "text")
+    return first_texts(rows, F.lit(SAMPLE_PER_LANGUAGE), max(SAMPLE_BYTES // languages, 1))
 
 
 def _features(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:

@@ -23,10 +23,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from girder.llm.common import lean, rounds, utf8
+from girder.llm.common import first_texts, lean, rounds, utf8
 from girder.llm.ngrams import grams, symbols
 
 SIZES = (4, 6, 8, 9)
@@ -149,17 +149,10 @@ def sample(
     rate = F.when(F.col("y") == 1, F.lit(every[1])).otherwise(F.lit(every[0]))
     # some 3 to 6 times ``most`` rows of 12 bytes, whatever the table: no text is shuffled for them
     few = marks.filter(F.pmod(F.xxhash64("id"), rate) == 0)
-    rows = texts.join(F.broadcast(few), "id").select("y", "text", F.xxhash64("text").alias("h"))
-    rows = rows.dropDuplicates(["y", "h"])
-    order = Window.partitionBy("y").orderBy("h", "text")
-    ranked = rows.select(
-        "y", "text", F.row_number().over(order).alias("k"),
-        F.sum(F.octet_length("text").cast("long")).over(order).alias("bytes"),
-    )
-    limit = F.when(F.col("y") == 1, F.lit(SAMPLE_TOXIC)).otherwise(F.lit(SAMPLE_CLEAN))
-    kept = ranked.filter((F.col("k") <= limit) & (F.col("bytes") <= SAMPLE_BYTES)).collect()
-    kept.sort(key=lambda r: (-r["y"], r["k"]))
-    return [r["text"] for r in kept], [r["y"] for r in kept]
+    rows = texts.join(F.broadcast(few), "id").select(F.col("y").alias("label"), "text")
+    limit = F.when(F.col("label") == 1, F.lit(SAMPLE_TOXIC)).otherwise(F.lit(SAMPLE_CLEAN))
+    found = first_texts(rows, limit, SAMPLE_BYTES)
+    return [t for _, t in found], [y for y, _ in found]
 
 
 def learn(
