@@ -55,11 +55,11 @@ def containing(names: DataFrame, needle: str, hay: DataFrame, text: str, key: st
     """needle, key: rows of hay whose lower-cased text contains the needle (GRAM characters at least).
 
     Without an index each needle would meet each text. So texts are indexed by their runs of three
-    characters; a needle asks only its rarest run, and what it finds is checked. The index and the
-    question are ordinary joins, so no side is broadcast whatever its size.
+    characters; a needle asks only its rarest run, and what it finds is checked. The index holds keys, not
+    texts, which are fetched for what is found. All are ordinary joins, so no side is broadcast whatever its size.
     """
     texts = hay.select(F.col(key), F.lower(F.col(text)).alias("_text")).filter("_text IS NOT NULL")
-    index = texts.select(key, "_text", F.explode(_grams(F.col("_text"))).alias("_gram"))
+    index = texts.select(key, F.explode(_grams(F.col("_text"))).alias("_gram"))
     sizes = index.groupBy("_gram").agg(F.count(F.lit(1)).alias("_size"))
     asked = names.select(needle, F.explode(_grams(F.col(needle))).alias("_gram"))
     rarest = (
@@ -67,8 +67,8 @@ def containing(names: DataFrame, needle: str, hay: DataFrame, text: str, key: st
         .groupBy(needle)
         .agg(F.min_by("_gram", F.struct(F.coalesce("_size", F.lit(0)), "_gram")).alias("_gram"))
     )
-    met = rarest.join(index, "_gram").filter(F.contains(F.col("_text"), F.col(needle)))
-    return met.select(needle, key)
+    met = rarest.join(index, "_gram").select(needle, key).join(texts, key)
+    return met.filter(F.contains(F.col("_text"), F.col(needle))).select(needle, key)
 
 
 def unique_containing(names: DataFrame, needle: str, hay: DataFrame, text: str, key: str) -> DataFrame:

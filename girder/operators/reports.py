@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,21 +96,60 @@ def average_gap(rows: DataFrame, key: str, day: str, order: list[str]) -> DataFr
     return placed.groupBy(key).agg(F.avg("days_since_previous").alias("avg_days_between_inspections"))
 
 
+#: Queries of one search: with their best so far they are what a task holds.
+QUERIES_AT_ONCE = 10_000
+
+
+def _units(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors that have a length, as unit vectors, and their places."""
+    lists = [None if v is None or None in v else v for v in rows.to_pylist()]
+    at = np.array([i for i, v in enumerate(lists) if v], np.int64)
+    vectors = np.array([lists[i] for i in at], np.float64).reshape(len(at), -1)
+    lengths = np.sqrt((vectors * vectors).sum(axis=1))
+    some = lengths > 0
+    return vectors[some] / lengths[some, None], at[some]
+
+
 def cosine_topk(queries: DataFrame, base: DataFrame, k: int) -> DataFrame:
-    """query_id, vec_id, similarity: the k nearest vectors of each query by exact cosine.
+    """query_id, vec_id, similarity, rank: the k nearest vectors of each query by exact cosine, ties by id.
 
-    queries is a chosen small set, of a counted size; base is met in blocks, each of which keeps k rows a
-    query before they are shuffled.
+    queries is a chosen small set of at most ``QUERIES_AT_ONCE``; it goes out with the tasks. base is met in
+    blocks of a matrix product, each task keeps k rows a query, and only these are shuffled. Vectors that are
+    null, hold a null or have no length are left out. Similarities are told to twelve decimals.
     """
-    if queries.count() > 10_000:
-        raise ValueError("search in parts of 10,000 queries")
-    unit = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
-    q = queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("q"))
-    b = base.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
-    q, b = q.withColumn("qn", unit("q")), b.withColumn("vn", unit("v"))
-    dot = F.aggregate(F.zip_with("q", "v", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
-    scored = b.crossJoin(F.broadcast(q)).filter("query_id <> vec_id").select(
-        "query_id", "vec_id", (dot / (F.col("qn") * F.col("vn"))).alias("similarity")
+    chosen = queries.select("vec_id", "embedding").limit(QUERIES_AT_ONCE + 1).toArrow()
+    if chosen.num_rows > QUERIES_AT_ONCE:
+        raise ValueError(f"search in parts of {QUERIES_AT_ONCE} queries")
+    chosen = chosen.combine_chunks()
+    asked, at = _units(chosen.column("embedding"))
+    ids = chosen.column("vec_id").to_numpy()[at]
+    shared = queries.sparkSession.sparkContext.broadcast((asked, ids))
+
+    def run(batches):
+        asked, ids = shared.value
+        near = np.full((len(ids), k), -2.0)
+        whose = np.full((len(ids), k), np.iinfo(np.int64).max)
+        for b in batches:
+            vectors, at = _units(b.column("embedding"))
+            if not len(at) or not len(ids):
+                continue
+            names = b.column("vec_id").to_numpy(zero_copy_only=False)[at]
+            for i in range(0, len(ids), 512):
+                found = np.round(asked[i : i + 512] @ vectors.T, 12)
+                found[ids[i : i + 512, None] == names[None, :]] = -2.0
+                found = np.concatenate((near[i : i + 512], found), axis=1)
+                owner = np.concatenate(
+                    (whose[i : i + 512], np.broadcast_to(names, (found.shape[0], len(names)))), axis=1
+                )
+                order = np.lexsort((owner, -found), axis=1)[:, :k]
+                near[i : i + 512] = np.take_along_axis(found, order, 1)
+                whose[i : i + 512] = np.take_along_axis(owner, order, 1)
+        row, col = np.nonzero(near > -2)
+        columns = [pa.array(x) for x in (ids[row], whose[row, col], near[row, col])]
+        yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "similarity"])
+
+    scored = base.select("vec_id", "embedding").mapInArrow(
+        run, "query_id long, vec_id long, similarity double"
     )
     best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "vec_id")
     return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
