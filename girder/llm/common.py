@@ -141,7 +141,11 @@ def anti(rows: DataFrame, out: DataFrame) -> DataFrame:
 
 def lean(run: Callable) -> Callable:
     """run, after which the worker gives its free memory back: it lives on for other tasks. Arrays of a few
-    MB are mapped by themselves, so that they go back as soon as they are free."""
+    MB are mapped by themselves, so that they go back as soon as they are free. Workers on this machine
+    can import the package from here on, so operators need no preparation by their callers."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        importable(spark)
 
     def go(batches):
         libc = ctypes.CDLL(None)

@@ -2,7 +2,7 @@
 
 Every step is a grouped aggregate and a join on the edges, so no component is ever gathered in one
 task; the number of rounds grows with the logarithm of the longest path. Each round's edges are a
-written table, so a lost executor costs one round at most.
+written table, so a lost executor costs one round at most; a round's table goes when the next is there.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from girder.llm.common import written
+from girder.llm.common import deleted, written
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -51,7 +51,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     now = written(clean, "edges")
     before = _measure(now)
     for _ in range(max_rounds):
-        now = written(_small_star(_large_star(now)), "edges")
+        old, now = now, written(_small_star(_large_star(now)), "edges")
+        deleted(old)
         after = _measure(now)
         if after == before:
             break

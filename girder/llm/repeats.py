@@ -24,8 +24,6 @@ Repeated rows are documents of their own, so each is a repeat of the other. Matc
 and may lie in one text; ties are none, as every holder of a repeated window loses it. An empty table gives an
 empty result. Extra columns pass through under any names. Texts are read whole; one that is longer than
 a segment is read in overlapping segments.
-
-Workers must be able to import this package; ``common.importable`` sees to that on one machine.
 """
 
 from __future__ import annotations

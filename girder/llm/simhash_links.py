@@ -18,8 +18,9 @@ node, however many documents have them.
 
 Defined results. Null or empty text, or text of white space only: fingerprint zero, linked like any
 other. Fewer than three words: one shingle of all words. Repeated rows and ties: component_id is
-the smallest doc_id of the component, null ids are ignored for that. Extra columns are ignored;
-an empty table gives an empty result.
+the smallest doc_id of the component, null ids are ignored for that. Texts are hashed whole, the votes of a
+very long one in pieces. Extra columns are ignored, and come through ``one_of_each`` under any names; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
