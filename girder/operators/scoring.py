@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from girder import taxonomy
 from girder.functions import parse
+from girder.session import local_rows
 
 VALUATION_CAP = 2_000_000_000
 WEIGHTS = (
@@ -173,3 +175,14 @@ def drift(stored: DataFrame, scored: DataFrame) -> DataFrame:
     gap = F.abs(F.col("icp_score") - F.col("recomputed"))
     verdict = F.when(gap < 0.1, "ok").when(gap > 0.5, "drift").otherwise("close")
     return stored.join(new, "id").select("id", "icp_score", "recomputed", verdict.alias("verdict"))
+
+
+def signal_coverage(rows: DataFrame) -> DataFrame:
+    """signal_type, declared, rows and active of every declared type, also of those that nothing computes yet, and of
+    types in the rows that aren't declared."""
+    types = local_rows(rows.sparkSession, [(t,) for t in taxonomy.SIGNAL_TYPES], "signal_type string")
+    counted = rows.groupBy("signal_type").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("is_active").alias("active")
+    )
+    both = types.withColumn("declared", F.lit(True)).join(counted, "signal_type", "full_outer")
+    return both.fillna({"declared": False, "rows": 0, "active": 0})

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from girder import taxonomy
 from girder.operators import linking, reports, scoring
 from girder.plans.frames import CONTRACTORS, INSPECTIONS, PERMITS, ctes, frame
 
@@ -81,6 +82,10 @@ def icp_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def signal_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.signal_coverage(scoring.signals(_scored(spark, sf_dir), AS_OF))
+
+
 def score_sanity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six signals a contractor, scores within 0 and 100, none missing."""
     scored = _scored(spark, sf_dir)
@@ -117,6 +122,7 @@ QUERIES = {
         permit_rollup_per_contractor,
         icp_score,
         icp_signals,
+        signal_coverage,
         score_sanity,
         tier_distribution,
         drift_check,
@@ -159,6 +165,18 @@ scored AS (
     + dim_adu_focus * 0.15::DOUBLE + dim_digital * 0.10::DOUBLE + dim_reach * 0.05::DOUBLE AS raw
   FROM dims)"""
 
+SIGNALS = f"""{SCORED},
+signals AS (
+  SELECT id, 'permit_velocity_high' AS signal_type, least(permit_count_active / 10.0::DOUBLE, 1) AS signal_value,
+    permit_count_active > 0 AS is_active FROM scored
+  UNION ALL SELECT id, 'digital_presence_low', 1 - dim_digital / 100, dim_digital < 50 FROM scored
+  UNION ALL SELECT id, 'adu_active', least(adu / 5.0::DOUBLE, 1), adu > 0 FROM scored
+  UNION ALL SELECT id, 'multi_city_active', least(cities / 10.0::DOUBLE, 1), cities >= 2 FROM scored
+  UNION ALL SELECT id, 'license_expiring_soon', CASE WHEN on_ THEN 1.0::DOUBLE ELSE 0 END, on_ FROM (
+    SELECT id, coalesce(le >= DATE '{AS_OF}' AND le < DATE '{AS_OF}' + 90, false) AS on_ FROM scored)
+  UNION ALL SELECT id, 'workers_comp_lapsed', CASE WHEN on_ THEN 1.0::DOUBLE ELSE 0 END, on_ FROM (
+    SELECT id, coalesce(we < DATE '{AS_OF}', false) AS on_ FROM scored))
+"""
 ORACLE_SQL = {
     "link_cascade": f"""{BASE},
 lic AS (SELECT p.id, c.id AS cid FROM permits p JOIN contractors c
@@ -212,17 +230,13 @@ SELECT id, round(dim_permit_activity, 9) AS dim_permit_activity, round(dim_pain,
   CASE WHEN n > 0 THEN CAST(least(floor(v / n + 0.5), 2000000000) AS BIGINT) ELSE 0 END AS avg_valuation_cents
 FROM scored
 """,
-    "icp_signals": f"""{SCORED}
-SELECT id AS contractor_id, signal_type, round(signal_value, 9) AS signal_value, is_active FROM (
-  SELECT id, 'permit_velocity_high' AS signal_type, least(permit_count_active / 10.0::DOUBLE, 1) AS signal_value,
-    permit_count_active > 0 AS is_active FROM scored
-  UNION ALL SELECT id, 'digital_presence_low', 1 - dim_digital / 100, dim_digital < 50 FROM scored
-  UNION ALL SELECT id, 'adu_active', least(adu / 5.0::DOUBLE, 1), adu > 0 FROM scored
-  UNION ALL SELECT id, 'multi_city_active', least(cities / 10.0::DOUBLE, 1), cities >= 2 FROM scored
-  UNION ALL SELECT id, 'license_expiring_soon', CASE WHEN on_ THEN 1.0::DOUBLE ELSE 0 END, on_ FROM (
-    SELECT id, coalesce(le >= DATE '{AS_OF}' AND le < DATE '{AS_OF}' + 90, false) AS on_ FROM scored)
-  UNION ALL SELECT id, 'workers_comp_lapsed', CASE WHEN on_ THEN 1.0::DOUBLE ELSE 0 END, on_ FROM (
-    SELECT id, coalesce(we < DATE '{AS_OF}', false) AS on_ FROM scored))
+    "icp_signals": f"""{SIGNALS}
+SELECT id AS contractor_id, signal_type, round(signal_value, 9) AS signal_value, is_active FROM signals
+""",
+    "signal_coverage": f"""{SIGNALS},
+declared AS (SELECT unnest([{", ".join(f"'{t}'" for t in taxonomy.SIGNAL_TYPES)}]) AS signal_type)
+SELECT signal_type, true AS declared, count(s.id) AS rows, count(*) FILTER (WHERE is_active) AS active
+FROM declared LEFT JOIN signals s USING (signal_type) GROUP BY 1
 """,
     "score_sanity": f"""{SCORED}
 SELECT count(*) AS contractors, CAST(0 AS BIGINT) AS bad_scores, min(floor(raw * 100 + 0.5) / 100) AS least,

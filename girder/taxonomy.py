@@ -83,6 +83,34 @@ PROJECT_CATEGORIES = (
     "Fire-Sprinkler",
     "Other",
 )
+SIGNAL_TYPES = (
+    "permit_velocity_high",
+    "correction_rate_high",
+    "license_expiring_soon",
+    "adu_active",
+    "multi_city_active",
+    "digital_presence_low",
+    "geographic_concentration",
+    "new_permit_issued",
+    "inspection_delay_pattern",
+    "project_stalled",
+    "permit_expiring_soon",
+    "high_value_project_started",
+    "multiple_corrections_same_trade",
+    "inspector_pattern_mismatch",
+    "new_city_expansion",
+    "seasonal_volume_spike",
+    "owner_builder_nearby",
+    "serial_developer_relationship",
+    "workers_comp_lapsed",
+    "bond_amount_changed",
+    "new_complaint_filed",
+    "violation_on_active_project",
+    "final_inspection_approaching",
+    "trade_sub_overloaded",
+    "new_adu_ordinance_change",
+    "competitor_permit_surge",
+)
 PAIN_ANGLES = (
     "inspection_delays",
     "correction_rate",
