@@ -68,7 +68,7 @@ def classify(
     if classifier is None:
         named = permits.withColumn("_category", category(F.col("work_description")))
     else:
-        place = permits.columns.index("work_description")
+        place, categories = permits.columns.index("work_description"), taxonomy.PROJECT_CATEGORIES
 
         def run(batches):
             for b in batches:
@@ -79,7 +79,7 @@ def classify(
                     names = [None] * len(texts)
                     if failures is not None:
                         failures.add(len(texts))
-                known = [n if n in taxonomy.PROJECT_CATEGORIES or n is None else "Other" for n in names]
+                known = [n if n in categories or n is None else "Other" for n in names]
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(known, pa.string())], schema.names)
 
         schema = permits.select("*").schema.add("_category", "string")

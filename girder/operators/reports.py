@@ -100,28 +100,31 @@ def average_gap(rows: DataFrame, key: str, day: str, order: list[str]) -> DataFr
 QUERIES_AT_ONCE = 10_000
 
 
-def _units(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The vectors that have a length, as unit vectors, and their places."""
-    lists = [None if v is None or None in v else v for v in rows.to_pylist()]
-    at = np.array([i for i, v in enumerate(lists) if v], np.int64)
-    vectors = np.array([lists[i] for i in at], np.float64).reshape(len(at), -1)
-    lengths = np.sqrt((vectors * vectors).sum(axis=1))
-    some = lengths > 0
-    return vectors[some] / lengths[some, None], at[some]
-
-
 def cosine_topk(queries: DataFrame, base: DataFrame, k: int) -> DataFrame:
     """query_id, vec_id, similarity, rank: the k nearest vectors of each query by exact cosine, ties by id.
 
     queries is a chosen small set of at most ``QUERIES_AT_ONCE``; it goes out with the tasks. base is met in
     blocks of a matrix product, each task keeps k rows a query, and only these are shuffled. Vectors that are
-    null, hold a null or have no length are left out. Similarities are told to twelve decimals.
+    null, hold a null or have no length are left out, and null ids. Similarities are told to twelve decimals.
     """
+
+    def units(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The vectors that have a length, as unit vectors, and their places."""
+        lists = [None if v is None or None in v else v for v in rows.to_pylist()]
+        at = np.array([i for i, v in enumerate(lists) if v], np.int64)
+        if not len(at):
+            return np.zeros((0, 1)), at
+        vectors = np.array([lists[i] for i in at], np.float64).reshape(len(at), -1)
+        lengths = np.sqrt((vectors * vectors).sum(axis=1))
+        some = lengths > 0
+        return vectors[some] / lengths[some, None], at[some]
+
+    queries, base = queries.filter("vec_id IS NOT NULL"), base.filter("vec_id IS NOT NULL")
     chosen = queries.select("vec_id", "embedding").limit(QUERIES_AT_ONCE + 1).toArrow()
     if chosen.num_rows > QUERIES_AT_ONCE:
         raise ValueError(f"search in parts of {QUERIES_AT_ONCE} queries")
     chosen = chosen.combine_chunks()
-    asked, at = _units(chosen.column("embedding"))
+    asked, at = units(chosen.column("embedding"))
     ids = chosen.column("vec_id").to_numpy()[at]
     shared = queries.sparkSession.sparkContext.broadcast((asked, ids))
 
@@ -130,7 +133,7 @@ def cosine_topk(queries: DataFrame, base: DataFrame, k: int) -> DataFrame:
         near = np.full((len(ids), k), -2.0)
         whose = np.full((len(ids), k), np.iinfo(np.int64).max)
         for b in batches:
-            vectors, at = _units(b.column("embedding"))
+            vectors, at = units(b.column("embedding"))
             if not len(at) or not len(ids):
                 continue
             names = b.column("vec_id").to_numpy(zero_copy_only=False)[at]

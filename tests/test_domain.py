@@ -254,3 +254,13 @@ def test_failing_classifier_is_counted(spark):
 
     got = external.classify(rows.coalesce(1), broken, failures).collect()
     assert [r.project_category_ai for r in got] == [None, None] and failures.value == 2
+
+
+def test_nearest_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 1.0]), (4, [-1.0, 0.0]), (5, None), (6, [0.0, 0.0]), (7, [1.0, None]), (8, [3.0, 0.0]), (None, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = reports.cosine_topk(df.filter("vec_id IN (1, 3, 5, 6)"), df, 2).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.similarity) for r in got) == [
+        (1, 1, 2, 1.0), (1, 2, 8, 1.0), (3, 1, 1, 0.0), (3, 2, 2, 0.0)
+    ]
+    assert reports.cosine_topk(df.limit(0), df, 2).collect() == []
