@@ -10,26 +10,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from girder.llm.common import deleted, written
+from girder.llm.common import deleted, split_join, written
 
 
 def _both(edges: DataFrame) -> DataFrame:
     return edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of u is linked to the smallest of u and its neighbours."""
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
+    """Every larger neighbour of u is linked to the smallest of u and its neighbours. A node that is in very
+    many of the ``total`` edges is dealt among tasks."""
     around = _both(edges)
-    low = around.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    joined = around.filter("b > a").join(low, "a")
+    low = around.groupBy("a").agg(
+        F.least(F.min("b"), F.first("a")).alias("m"), F.count(F.lit(1)).alias("count")
+    )
+    joined = split_join(around.filter("b > a"), low, ["a"], "inner", total)
     return joined.select(F.col("m").alias("a"), "b").filter("a <> b").distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
     """u and its smaller neighbours are linked to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    low = down.groupBy("u").agg(F.min("v").alias("m"))
-    joined = down.join(low, "u")
+    low = down.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("count"))
+    joined = split_join(down, low, ["u"], "inner", total)
     linked = joined.select(F.col("m").alias("a"), F.col("v").alias("b")).filter("a <> b")
     return linked.unionByName(low.select(F.col("m").alias("a"), F.col("u").alias("b"))).distinct()
 
@@ -51,7 +54,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     now = written(clean, "edges")
     before = _measure(now)
     for _ in range(max_rounds):
-        old, now = now, written(_small_star(_large_star(now)), "edges")
+        old, now = now, written(_small_star(_large_star(now, before[0]), before[0]), "edges")
         deleted(old)
         after = _measure(now)
         if after == before:
