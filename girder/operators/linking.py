@@ -72,12 +72,25 @@ def containing(names: DataFrame, needle: str, hay: DataFrame, text: str, key: st
 
 
 def unique_containing(names: DataFrame, needle: str, hay: DataFrame, text: str, key: str) -> DataFrame:
-    """needle, key where exactly one distinct key contains the needle."""
-    found = containing(names, needle, hay, text, key).groupBy(needle)
+    """needle, key where exactly one distinct key contains the needle. names: distinct needles.
+
+    Every distinct text gives its runs of the needles' lengths, and a needle meets those equal to it. So rows are as
+    many as characters times lengths, however alike the names are, and a run meets one needle at most.
+    """
+    texts = hay.groupBy(F.lower(F.col(text)).alias("_text")).agg(
+        F.min(key).alias(key), (F.min(key) < F.max(key)).alias("_more")
+    )
+    lengths = names.agg(F.collect_set(F.length(needle)).alias("_lengths"))
+    sized = texts.join(F.broadcast(lengths)).select(key, "_more", "_text", F.explode("_lengths").alias("_n"))
+    last = F.length("_text") - F.col("_n") + 1
+    at = sized.filter(last > 0).withColumn("_at", F.explode(F.sequence(F.lit(1), last)))
+    runs = at.select(F.col("_text").substr(F.col("_at"), F.col("_n")).alias(needle), key, "_more")
+    found = runs.join(names.select(needle).hint("shuffle_hash"), needle).groupBy(needle)
     return (
-        found.agg(F.min(key).alias(key), F.max(key).alias("_other"))
+        found.agg(F.min(key).alias(key), F.max(key).alias("_other"), F.bool_or("_more").alias("_more"))
         .filter(F.col(key) == F.col("_other"))
-        .drop("_other")
+        .filter(~F.col("_more"))
+        .select(needle, key)
     )
 
 
@@ -95,31 +108,31 @@ def by_name(permits: DataFrame, contractors: DataFrame) -> DataFrame:
 def link(permits: DataFrame, contractors: DataFrame, cache: DataFrame | None = None) -> DataFrame:
     """permits with contractor_id filled where it was null, and ``match_pass``.
 
-    Passes in order: license, address, name; a later pass only sees what the earlier ones missed.
+    Passes in order: license, address, name; what an earlier one found stands. Each pass looks at all permits
+    without a contractor by itself: to leave out what the earlier ones found, each would have to repeat these.
     """
     cache = address_cache(contractors) if cache is None else cache
-    linked = permits.withColumn(
-        "match_pass", F.when(F.col("contractor_id").isNotNull(), "linked").cast("string")
-    )
     open_ = permits.filter("contractor_id IS NULL")
-    passes = (
-        ("license", lambda rows: by_license(rows, contractors)),
-        ("address", lambda rows: by_address(rows, cache)),
-        ("name", lambda rows: by_name(rows, contractors)),
-    )
-    found = None
-    for name, one in passes:
-        got = one(open_).withColumn("_pass", F.lit(name))
-        found = got if found is None else found.unionByName(got)
-        open_ = open_.join(got.select(F.col("permit_id").alias("id")), "id", "left_anti")
-    found = found.withColumnRenamed("contractor_id", "_contractor")
-    both = linked.join(found, linked["id"] == found["permit_id"], "left")
-    return both.withColumns(
-        {
-            "contractor_id": F.coalesce("contractor_id", "_contractor"),
-            "match_pass": F.coalesce("match_pass", "_pass"),
-        }
-    ).drop("permit_id", "_contractor", "_pass")
+    passes = {
+        "license": by_license(open_, contractors),
+        "address": _one_of_each(by_address(open_, cache)),
+        "name": _one_of_each(by_name(open_, contractors)),
+    }
+    linked = permits.withColumn("match_pass", F.when(F.col("contractor_id").isNotNull(), "linked"))
+    for name, found in passes.items():
+        found = found.select(F.col("permit_id").alias("_permit"), F.col("contractor_id").alias("_contractor"))
+        linked = linked.join(found, linked["id"] == found["_permit"], "left").withColumns(
+            {
+                "match_pass": F.coalesce("match_pass", F.when(F.col("_contractor").isNotNull(), name)),
+                "contractor_id": F.coalesce("contractor_id", "_contractor"),
+            }
+        ).drop("_permit", "_contractor")
+    return linked
+
+
+def _one_of_each(found: DataFrame) -> DataFrame:
+    """Permits of one id have one contractor."""
+    return found.groupBy("permit_id").agg(F.max("contractor_id").alias("contractor_id"))
 
 
 def counters(permits: DataFrame) -> DataFrame:

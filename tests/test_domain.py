@@ -100,6 +100,41 @@ def test_link_cascade(spark):
     }
 
 
+def most_rows(plan):
+    """Rows of the node of an executed plan that made most."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return most_rows(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return most_rows(plan.plan())
+    own = plan.metrics().get("numOutputRows")
+    children = plan.children()
+    below = [most_rows(children.apply(i)) for i in range(children.size())]
+    return max([own.get().value() if own.isDefined() else 0, *below])
+
+
+def test_names_that_are_alike_meet_only_what_contains_them(spark):
+    rows = [(str(i), f"The {i * 7919 % 4096:012b} Builders") for i in range(1500)]
+    rows += [("a", rows[0][1]), ("b", "xx " + rows[1][1]), ("c", None)]  # two others that hold a name
+    hay = spark.createDataFrame(rows, "k string, t string")
+    needles = [t.split()[1] for _, t in rows[:1500]] + ["rs", "no such"]
+    names = spark.createDataFrame([(n,) for n in needles], "n string")
+    df = linking.unique_containing(names, "n", hay, "t", "k")
+    got = {r.n: r.k for r in df.collect()}
+    assert got == {n: str(i) for i, n in enumerate(needles[:1500]) if i > 1}
+    assert most_rows(df._jdf.queryExecution().executedPlan()) < 100_000
+
+
+def test_link_of_repeated_permits(spark):
+    rows = [("p1", "{}", "2 oak st, LA", "none such", None), ("p2", "{}", None, "ACE Builders", None)]
+    permits = spark.createDataFrame(
+        rows * 2,
+        "id string, raw_source string, contractor_address string, contractor_name string, contractor_id string",
+    )
+    got = sorted((r.id, r.contractor_id) for r in linking.link(permits, contractors(spark)).collect())
+    assert got == [("p1", "c3"), ("p1", "c3"), ("p2", "c1"), ("p2", "c1")]
+
+
 def test_containing_equals_a_nested_loop(spark):
     texts = ["Ab", "abc", "xabcx", "bca", "", None, "abcabc", "ABCD"]
     hay = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
