@@ -10,9 +10,12 @@ Texts with the same set are one node. Candidates come in two ways, and what is l
   (1 - 0.8**4)**24, some 3 in a million, less if they are more alike. Pairs whose sizes rule the
   likeness out are left out before they are verified.
 
-Groups of over ``GROUP_LIMIT`` nodes with a key are compared with ``HUBS`` of their nodes only, others in each
+Groups of over ``GROUP_LIMIT`` nodes with a key are first compared with ``HUBS`` of their nodes, others in each
 band: links among near copies of one text are closed by components, so the group's pairs need not be
-made. In a group that large two nodes can miss each other if no hub of any band is like both.
+made. What that leaves open is settled exactly: in groups whose nodes are not all in one component, two nodes
+can only be alike if the rarest fifth of their shingles meet, at places early enough for the rest
+to make up the likeness. Nodes of different components that meet so are verified, first with the node of each list that
+has the shingle earliest (a text that others are edits of), then all that are still apart.
 
 Defined results. Words are what ASCII white space separates, ASCII letters in lower case. Fewer than
 five words: one shingle of all words; no words: one empty shingle. Null text: empty, so empty texts are
@@ -22,13 +25,15 @@ are hashed in pieces, whole. An empty table gives an empty result. Extra columns
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from girder.llm.common import deleted, hashed, lean, renamed, split_join, utf8, written
+from girder.llm.common import HOT_KEYS, SPLITS, deleted, hashed, lean, renamed, split_join, utf8, written
 from girder.llm.components import connected_components
 from girder.llm.repeats import _BASES, _Hashes, _keyed, _mix
 from girder.llm.simhash_links import LOWER, first_of_each, links
@@ -134,8 +139,9 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.select("fp", "text").mapInArrow(lean(run), "fp long, shingles array<long>")
 
 
-def candidates(nodes: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
-    """a < b: pairs of nodes (fp, n, keys) that share a key and whose sizes allow the likeness."""
+def candidates(nodes: DataFrame, limit: int = GROUP_LIMIT) -> tuple[DataFrame, DataFrame]:
+    """a < b: pairs of nodes (fp, n, keys) that share a key and whose sizes allow the likeness; and band, key, fp of
+    groups over the limit, of which only the pairs with hubs are there."""
     index = nodes.select(
         F.struct("fp", "n").alias("x"), F.posexplode("keys").alias("band", "key")
     )
@@ -163,12 +169,13 @@ def candidates(nodes: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
     starred = starred.select(F.least("h", "x").alias("a"), F.greatest("h", "x").alias("b"))
     pairs = met.filter("size = 2").select("a", "b").unionByName(paired).unionByName(starred)
     low, high = F.least("a.n", "b.n"), F.greatest("a.n", "b.n")
-    return (
+    likely = (
         pairs.filter("a.fp <> b.fp")
         .filter(OF * low >= LIKE * high)
         .select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
         .distinct()
     )
+    return likely, many.select("band", "key", F.col("x.fp").alias("fp"))
 
 
 def voted(nodes: DataFrame) -> DataFrame:
@@ -196,6 +203,134 @@ def _alike(a: Column, b: Column) -> Column:
     return OF * both >= LIKE * (F.size(a) + F.size(b) - both)
 
 
+def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b: the pairs (written) whose sets are alike."""
+    # a node that stands for a large group is in very many pairs
+    total = pairs.count()
+    left = pairs.groupBy("a").count().join(sets.select(F.col("fp").alias("a"), F.col("shingles").alias("sa")), "a")
+    right = pairs.groupBy("b").count().join(sets.select(F.col("fp").alias("b"), F.col("shingles").alias("sb")), "b")
+    beside = split_join(pairs, left, ["a"], "inner", total).drop("count")
+    beside = split_join(beside, right, ["b"], "inner", total)
+    links = beside.filter(_alike(F.col("sa"), F.col("sb")))
+    return written(links.select("a", "b"), "likeness")
+
+
+def _placed(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """rows with the component of fp, which is fp itself if it has no link."""
+    known = named.select(F.col("node").alias("fp"), "component")
+    return rows.join(known, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
+def _mixed(placed: DataFrame, *keys: str) -> DataFrame:
+    """keys, count and hub (the first in the order of ``at``) of groups with more than one component."""
+    sized = placed.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("count"), F.min("component").alias("_low"), F.max("component").alias("_high"),
+        F.min("at").alias("hub"),
+    )
+    return written(sized.filter("_low < _high").drop("_low", "_high"), "mixed-groups")
+
+
+def rarest(sets: DataFrame) -> DataFrame:
+    """token, fp, at (share, i, n, fp): the shingles at place i of each set, the rarest first, as far as one
+    can be the first that the set has in common with another that is alike; those that no other set has are left out."""
+    tokens = written(sets.select("fp", F.explode("shingles").alias("token")), "shingle-rows")
+    counts = written(tokens.groupBy("token").count(), "shingle-counts")
+    ranked = split_join(tokens, counts, ["token"], "inner", tokens.count())
+    order = ranked.groupBy("fp").agg(F.sort_array(F.collect_list(F.struct("count", "token"))).alias("order"))
+    early = order.select("fp", F.size("order").alias("n"), F.posexplode(F.expr(f"slice(order, 1, size(order) div {OF} + 1)")).alias("i", "x"))
+    at = F.struct((F.col("i") / F.col("n")).alias("share"), "i", "n", "fp")
+    found = written(early.filter("x.count > 1").select("x.token", "fp", at.alias("at")), "rarest-shingles")
+    deleted(tokens, counts)
+    return found
+
+
+def _can_be_alike(x: Column, y: Column) -> Column:
+    """If a shingle at these places is the first that two sets have in common, whether they can be alike."""
+    first = lambda p, q: (OF - LIKE) * p["n"] >= OF * p["i"] + LIKE * q["i"]
+    sizes = OF * F.least(x["n"], y["n"]) >= LIKE * F.greatest(x["n"], y["n"])
+    return first(x, y) & first(y, x) & sizes
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """a < b of x, y."""
+    pair = pairs.select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b"))
+    return written(pair.distinct(), "apart-pairs")
+
+
+def _with_hubs(early: DataFrame, named: DataFrame) -> DataFrame:
+    """Pairs across components of each list's hub with its other nodes."""
+    placed = written(_placed(early, named), "apart")
+    hubs = _mixed(placed, "token")
+    met = split_join(placed, hubs, ["token"], "inner", placed.count())
+    far = met.join(
+        hashed(_placed(hubs.select(F.col("hub.fp").alias("fp")).distinct(), named).toDF("_hub", "_of")),
+        F.col("hub.fp") == F.col("_hub"),
+    ).filter("component <> _of")
+    pairs = _ordered(far.select(F.col("at").alias("x"), F.col("hub").alias("y")).filter(_can_be_alike(F.col("x"), F.col("y"))))
+    deleted(placed, hubs)
+    return pairs
+
+
+def _all_apart(early: DataFrame, named: DataFrame) -> DataFrame:
+    """All pairs across components in a list. Of two alike one has the shingle in its first ninth; a long list
+    is dealt among tasks."""
+    placed = written(_placed(early, named), "apart")
+    mixed = _mixed(placed, "token")
+    rows = written(split_join(placed, mixed.drop("hub"), ["token"], "inner", placed.count()), "apart-lists")
+    is_hot = F.col("count") > rows.count() // HOT_KEYS
+    turn = F.pmod(F.xxhash64("fp"), F.lit(SPLITS)).cast("int")
+    left = rows.filter((LIKE + OF) * F.col("at.i") <= (OF - LIKE) * F.col("at.n")).select(
+        "token", F.when(is_hot, turn).otherwise(0).alias("_turn"), F.col("at").alias("x"), F.col("component").alias("_x")
+    )
+    last = F.when(is_hot, F.lit(SPLITS - 1)).otherwise(F.lit(0))
+    right = rows.select(
+        "token", F.explode(F.sequence(F.lit(0), last)).alias("_turn"), F.col("at").alias("y"), F.col("component").alias("_y")
+    )
+    met = left.join(right, ["token", "_turn"]).filter("_x <> _y")
+    pairs = _ordered(met.filter(_can_be_alike(F.col("x"), F.col("y"))))
+    deleted(placed, mixed, rows)
+    return pairs
+
+
+def _joined(named: DataFrame, links: DataFrame) -> DataFrame:
+    """named, with the components that the links join made one."""
+    ends = links.toDF("fp", "_b")
+    ends = _placed(ends, named).select(F.col("_b").alias("fp"), F.col("component").alias("a"))
+    across = _placed(ends, named).select("a", F.col("component").alias("b"))
+    up = connected_components(across).select(F.col("node").alias("component"), F.col("component").alias("_up"))
+    return written(
+        named.join(up, "component", "left").select("node", F.coalesce("_up", "component").alias("component")),
+        "near-components",
+    )
+
+
+def settled(many: DataFrame, named: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """node, component: named, with all links within the large groups (band, key, fp).
+
+    sets_of: fp and shingles of the given fp.
+    """
+    if many.isEmpty():
+        return named
+    named = written(named, "near-components")
+    placed = written(_placed(many, named).withColumn("at", F.col("fp")), "large-groups")
+    mixed = _mixed(placed, "band", "key")
+    if mixed.isEmpty():
+        return named
+    apart = split_join(placed, mixed, ["band", "key"], "left_semi", placed.count())
+    apart = written(apart.select(F.col("fp").alias("node"), "component").distinct(), "nodes-apart")
+    named = written(named.unionByName(apart).distinct(), "near-components")
+    sets = sets_of(apart.select(F.col("node").alias("fp")))
+    early = rarest(sets)
+    for pairs_of in (_with_hubs, _all_apart):
+        pairs = pairs_of(early, named)
+        links = _linked(pairs, sets)
+        if not links.isEmpty():
+            named = _joined(named, links)
+        deleted(pairs, links)
+    deleted(placed, mixed, apart, sets, early)
+    return named
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """docs with one row of each group of near copies: the smallest doc_id (null ids last)."""
     plain, (doc, body) = renamed(docs, "doc_id", "text")
@@ -206,22 +341,21 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         F.min("id").alias("first"), F.first("n").alias("n"),
         F.first("vote").alias("vote"), F.first("keys").alias("keys"),
     )
-    met = candidates(nodes.select("fp", "n", "keys")).unionByName(voted(nodes.select("fp", "n", "vote")))
+    likely, many = candidates(nodes.select("fp", "n", "keys"))
+    met = likely.unionByName(voted(nodes.select("fp", "n", "vote")))
     pairs = written(met.distinct(), "likely-pairs")
-    met = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
-    wanted = nodes.select("fp", "first").join(met, "fp").select("fp", "first._k1", "first._k2")
-    wanted = written(wanted, "likely")
-    texts = keyed.select("_k1", "_k2", F.col(body).alias("text")).join(hashed(wanted), ["_k1", "_k2"])
-    sets = written(_sets(texts).dropDuplicates(["fp"]), "shingle-sets")
-    # a node that stands for a large group is in very many pairs
-    total = pairs.count()
-    left = pairs.groupBy("a").count().join(sets.select(F.col("fp").alias("a"), F.col("shingles").alias("sa")), "a")
-    right = pairs.groupBy("b").count().join(sets.select(F.col("fp").alias("b"), F.col("shingles").alias("sb")), "b")
-    beside = split_join(pairs, left, ["a"], "inner", total).drop("count")
-    beside = split_join(beside, right, ["b"], "inner", total)
-    links = beside.filter(_alike(F.col("sa"), F.col("sb")))
-    links = written(links.select("a", "b"), "likeness")
-    deleted(pairs, wanted, sets)
-    named = connected_components(links)
+
+    def sets_of(fps: DataFrame) -> DataFrame:
+        wanted = nodes.select("fp", "first").join(fps, "fp").select("fp", "first._k1", "first._k2")
+        wanted = written(wanted, "likely")
+        texts = keyed.select("_k1", "_k2", F.col(body).alias("text")).join(hashed(wanted), ["_k1", "_k2"])
+        sets = written(_sets(texts).dropDuplicates(["fp"]), "shingle-sets")
+        deleted(wanted)
+        return sets
+
+    sets = sets_of(pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct())
+    links = _linked(pairs, sets)
+    deleted(pairs, sets)
+    named = settled(many, connected_components(links), sets_of)
     deleted(links)
     return first_of_each(plain, keyed, rows.select("id", "fp"), named).toDF(*docs.columns)

@@ -43,6 +43,28 @@ def test_copies_with_a_few_changed_words(spark, sf_dir):
     assert len(want) < len(texts) - 80
 
 
+def test_large_group_of_edits_that_are_not_like_its_hubs(spark, sf_dir):
+    rng = random.Random(1)
+    base = [str(rng.randrange(10**6)) for _ in range(150)]
+    texts = []
+    for k in range(300):  # two texts with other words at the same places are alike, and like no others
+        places = rng.sample(range(5, 145), 3)
+        for twin in range(2):
+            copy = list(base)
+            for at in places:
+                copy[at] = f"x{k}-{at}-{twin}"
+            texts.append(" ".join(copy))
+    df = spark.createDataFrame(
+        [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    )
+    sets = [brute_set(t) for t in texts]
+    pairs = [(a, b) for b in range(len(sets)) for a in range(b) if like(sets[a], sets[b])]
+    want = set(closure(pairs, range(len(sets))).values())
+    got = dict(pipeline.STAGES)["near_dedup"](spark, df, sf_dir)
+    assert sorted(r.doc_id for r in got.collect()) == sorted(want)
+
+
 def test_long_texts_in_pieces(monkeypatch):
     text = " ".join(str(k * k % 997) for k in range(300)).encode()
     whole = op.shingles(text).tolist()
