@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from girder.llm.common import HOT_KEYS, SPLITS, deleted, hashed, lean, renamed, split_join, utf8, written
+from girder.llm.common import HOT_KEYS, SPLITS, deleted, hashed, lean, renamed, split_join, tidied, utf8, written
 from girder.llm.components import connected_components
 from girder.llm.repeats import _BASES, _Hashes, _keyed, _mix
 from girder.llm.simhash_links import LOWER, first_of_each, links
@@ -321,6 +321,7 @@ def settled(many: DataFrame, named: DataFrame, sets_of: Callable[[DataFrame], Da
     named = written(named.unionByName(apart).distinct(), "near-components")
     sets = sets_of(apart.select(F.col("node").alias("fp")))
     early = rarest(sets)
+    tidied(many.sparkSession)
     for pairs_of in (_with_hubs, _all_apart):
         pairs = pairs_of(early, named)
         links = _linked(pairs, sets)
@@ -356,6 +357,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     sets = sets_of(pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct())
     links = _linked(pairs, sets)
     deleted(pairs, sets)
+    tidied(docs.sparkSession)
     named = settled(many, connected_components(links), sets_of)
     deleted(links)
     return first_of_each(plain, keyed, rows.select("id", "fp"), named).toDF(*docs.columns)

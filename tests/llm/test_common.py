@@ -1,5 +1,7 @@
 """What the operators share: folders, bounds, splits."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,3 +67,17 @@ def test_first_texts(spark):
     assert len(found) == len(set(found)) == 20
     assert {sum(len(t) for k, t in common.first_texts(rows, F.lit(10), 30) if k == "a")} <= set(range(22, 31))
     assert len(common.first_texts(rows, F.lit(10), 1)) == 2
+
+
+def test_tidied_lets_finished_plans_go(spark):
+    df = spark.range(3).selectExpr("id + 1 AS a")
+    held = spark._jvm.java.lang.ref.WeakReference(df._jdf)
+    cycle = [df]
+    cycle.append(cycle)  # as plans are held by frames of finished calls
+    del df, cycle
+    for _ in range(10):  # references are given up by a thread of their own
+        common.tidied(spark)
+        if held.refersTo(None):
+            break
+        time.sleep(0.3)
+    assert held.refersTo(None)
