@@ -15,7 +15,7 @@ band: links among near copies of one text are closed by components, so the group
 made. What that leaves open is settled exactly: in groups whose nodes are not all in one component, two nodes
 can only be alike if the rarest fifth of their shingles meet, at places early enough for the rest
 to make up the likeness. Nodes of different components that meet so are verified, first with the node of each list that
-has the shingle earliest (a text that others are edits of), then all that are still apart.
+has the shingle earliest (a text that others are edits of), then all that are still apart, in blocks of a list.
 
 Defined results. Words are what ASCII white space separates, ASCII letters in lower case. Fewer than
 five words: one shingle of all words; no words: one empty shingle. Null text: empty, so empty texts are
@@ -25,7 +25,7 @@ are hashed in pieces, whole. An empty table gives an empty result. Extra columns
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from girder.llm.common import HOT_KEYS, SPLITS, deleted, hashed, lean, renamed, split_join, tidied, utf8, written
+from girder.llm.common import deleted, hashed, lean, renamed, split_join, tidied, utf8, written
 from girder.llm.components import connected_components
 from girder.llm.repeats import _BASES, _Hashes, _keyed, _mix
 from girder.llm.simhash_links import LOWER, first_of_each, links
@@ -44,6 +44,10 @@ LIKE, OF = 4, 5
 BANDS, ROWS = 24, 4
 GROUP_LIMIT = 32
 HUBS = 2
+#: Shingles in a block of a list of nodes that are compared pair by pair, a node counting as MEMBER more, and
+#: columns of their matrix at once.
+BLOCK, MEMBER = 1 << 16, 64
+COLUMNS = 1 << 11
 #: Words of a text that are hashed at once.
 PIECE = 1 << 16
 _SEEDS = np.random.default_rng(5).integers(1, 1 << 63, (2, BANDS * ROWS), np.uint64)
@@ -221,11 +225,12 @@ def _placed(rows: DataFrame, named: DataFrame) -> DataFrame:
     return rows.join(known, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
 
 
-def _mixed(placed: DataFrame, *keys: str) -> DataFrame:
-    """keys, count and hub (the first in the order of ``at``) of groups with more than one component."""
+def _mixed(placed: DataFrame, *keys: str, **more: Column) -> DataFrame:
+    """keys, count, hub (the first in the order of ``at``) and its component, of groups with more than one component."""
     sized = placed.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("count"), F.min("component").alias("_low"), F.max("component").alias("_high"),
-        F.min("at").alias("hub"),
+        F.min("at").alias("hub"), F.min_by("component", "at").alias("hub_component"),
+        *[column.alias(name) for name, column in more.items()],
     )
     return written(sized.filter("_low < _high").drop("_low", "_high"), "mixed-groups")
 
@@ -262,34 +267,94 @@ def _with_hubs(early: DataFrame, named: DataFrame) -> DataFrame:
     placed = written(_placed(early, named), "apart")
     hubs = _mixed(placed, "token")
     met = split_join(placed, hubs, ["token"], "inner", placed.count())
-    far = met.join(
-        hashed(_placed(hubs.select(F.col("hub.fp").alias("fp")).distinct(), named).toDF("_hub", "_of")),
-        F.col("hub.fp") == F.col("_hub"),
-    ).filter("component <> _of")
+    far = met.filter("component <> hub_component")
     pairs = _ordered(far.select(F.col("at").alias("x"), F.col("hub").alias("y")).filter(_can_be_alike(F.col("x"), F.col("y"))))
     deleted(placed, hubs)
     return pairs
 
 
-def _all_apart(early: DataFrame, named: DataFrame) -> DataFrame:
-    """All pairs across components in a list. Of two alike one has the shingle in its first ninth; a long list
-    is dealt among tasks."""
+def _in_block(xs: list[dict], inner: bool) -> Iterator[pa.RecordBatch]:
+    """Links a < b among the members of a list: across its two blocks, or all of one block (inner)."""
+    i, n, part = (np.array([x[k] for x in xs], np.int64) for k in ("i", "n", "part"))
+    component = np.array([x["component"] for x in xs], np.int64)
+    first = (OF - LIKE) * n[:, None] >= OF * i[:, None] + LIKE * i
+    sizes = OF * np.minimum(n[:, None], n) >= LIKE * np.maximum(n[:, None], n)
+    may = first & first.T & sizes & (component[:, None] != component)
+    may = np.triu(may, 1) if inner else may & (part[:, None] < part)
+    rows, columns = np.flatnonzero(may.any(1)), np.flatnonzero(may.any(0))
+    if not len(rows):
+        return
+    sides = [np.concatenate([xs[k]["shingles"] for k in side]) for side in (rows, columns)]
+    held = np.intersect1d(*sides)
+    places = [_places(xs, side, flat, held) for side, flat in zip((rows, columns), sides)]
+    both = np.zeros((len(rows), len(columns)), np.float32)  # counts, exact below 2 ** 24
+    for at in range(0, len(held), COLUMNS):
+        low, high = (_matrix(at, *place) for place in places)
+        both += low @ high.T
+    union = n[rows][:, None] + n[columns] - both
+    fps = np.array([x["fp"] for x in xs], np.int64)
+    r, c = np.nonzero(may[np.ix_(rows, columns)] & (OF * both >= LIKE * union))
+    found = fps[rows[r]], fps[columns[c]]
+    yield pa.RecordBatch.from_arrays([pa.array(f(*found)) for f in (np.minimum, np.maximum)], ["a", "b"])
+
+
+def _places(xs: list[dict], side: np.ndarray, flat: np.ndarray, held: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+    """How many members there are, and member and place in held of each shingle that is there."""
+    owner = np.repeat(np.arange(len(side)), [len(xs[k]["shingles"]) for k in side])
+    at = np.searchsorted(held, flat)
+    there = at < len(held)
+    there[there] = held[at[there]] == flat[there]
+    return len(side), owner[there], at[there]
+
+
+def _matrix(start: int, count: int, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
+    part = (at >= start) & (at < start + COLUMNS)
+    out = np.zeros((count, COLUMNS), np.float32)
+    out[owner[part], at[part] - start] = 1
+    return out
+
+
+def _block_links(blocks: DataFrame) -> DataFrame:
+    """a, b: links within blocks (token, inner, xs)."""
+
+    def run(batches):
+        for whole in batches:
+            for k in range(whole.num_rows):
+                xs = whole.column("xs")[k].values
+                shingles = xs.field("shingles")
+                flat, ends = shingles.values.to_numpy(), shingles.offsets.to_numpy()
+                slim = [xs.field(x).to_pylist() for x in ("fp", "i", "n", "component", "part")]
+                members = [
+                    dict(zip(("fp", "i", "n", "component", "part"), row), shingles=flat[lo:hi])
+                    for row, lo, hi in zip(zip(*slim), ends, ends[1:])
+                ]
+                yield from _in_block(members, whole.column("inner")[k].as_py())
+
+    return blocks.select("inner", "xs").mapInArrow(lean(run), "a long, b long")
+
+
+def _all_apart(early: DataFrame, named: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b: all links across components of nodes that meet in a list.
+
+    Lists are dealt in blocks of some BLOCK shingles by a hash of the node, and any two blocks of a list meet in a
+    task of their own. Pairs are compared there and only links leave it, so there is no row for a
+    pair; a set is sent once for each block of a list.
+    """
     placed = written(_placed(early, named), "apart")
-    mixed = _mixed(placed, "token")
-    rows = written(split_join(placed, mixed.drop("hub"), ["token"], "inner", placed.count()), "apart-lists")
-    is_hot = F.col("count") > rows.count() // HOT_KEYS
-    turn = F.pmod(F.xxhash64("fp"), F.lit(SPLITS)).cast("int")
-    left = rows.filter((LIKE + OF) * F.col("at.i") <= (OF - LIKE) * F.col("at.n")).select(
-        "token", F.when(is_hot, turn).otherwise(0).alias("_turn"), F.col("at").alias("x"), F.col("component").alias("_x")
+    parts = F.ceil(F.sum(F.col("at.n").cast("long") + MEMBER) / BLOCK).cast("int")
+    mixed = _mixed(placed, "token", parts=parts)
+    rows = split_join(placed, mixed.drop("hub", "hub_component"), ["token"], "inner", placed.count())
+    dealt = rows.select("token", "fp", "at.i", "at.n", "component", "parts")
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("fp", F.lit(1)), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("beside", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    held = dealt.join(hashed(sets.select("fp", "shingles")), "fp")
+    low, high = F.least("part", "beside").alias("low"), F.greatest("part", "beside").alias("high")
+    blocks = held.groupBy("token", low, high).agg(
+        F.collect_list(F.struct("fp", "i", "n", "component", "part", "shingles")).alias("xs")
     )
-    last = F.when(is_hot, F.lit(SPLITS - 1)).otherwise(F.lit(0))
-    right = rows.select(
-        "token", F.explode(F.sequence(F.lit(0), last)).alias("_turn"), F.col("at").alias("y"), F.col("component").alias("_y")
-    )
-    met = left.join(right, ["token", "_turn"]).filter("_x <> _y")
-    pairs = _ordered(met.filter(_can_be_alike(F.col("x"), F.col("y"))))
-    deleted(placed, mixed, rows)
-    return pairs
+    links = written(_block_links(blocks.select((F.col("low") == F.col("high")).alias("inner"), "xs")).distinct(), "apart-links")
+    deleted(placed, mixed)
+    return links
 
 
 def _joined(named: DataFrame, links: DataFrame) -> DataFrame:
@@ -322,12 +387,14 @@ def settled(many: DataFrame, named: DataFrame, sets_of: Callable[[DataFrame], Da
     sets = sets_of(apart.select(F.col("node").alias("fp")))
     early = rarest(sets)
     tidied(many.sparkSession)
-    for pairs_of in (_with_hubs, _all_apart):
-        pairs = pairs_of(early, named)
-        links = _linked(pairs, sets)
-        if not links.isEmpty():
-            named = _joined(named, links)
-        deleted(pairs, links)
+    pairs = _with_hubs(early, named)
+    links = _linked(pairs, sets)
+    deleted(pairs)
+    for found in (lambda: links, lambda: _all_apart(early, named, sets)):
+        now = found()
+        if not now.isEmpty():
+            named = _joined(named, now)
+        deleted(now)
     deleted(placed, mixed, apart, sets, early)
     return named
 

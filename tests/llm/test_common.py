@@ -81,3 +81,23 @@ def test_tidied_lets_finished_plans_go(spark):
             break
         time.sleep(0.3)
     assert held.refersTo(None)
+
+
+def test_written_tables_keep_the_heap_low(spark, monkeypatch):
+    class Memory:
+        used = 0
+        totalMemory = lambda self: 900
+        maxMemory = lambda self: 900
+        freeMemory = lambda self: 900 - self.used
+
+    memory, calls = Memory(), []
+    monkeypatch.setattr(common, "tidied", calls.append)
+    monkeypatch.setattr(common, "_runtime", lambda s: memory)
+    for memory.used in (299, 301):
+        common.written(spark.range(2), "low")
+    assert len(calls) == 1
+
+
+def test_native_memory_of_the_jvm_is_trimmed(spark):
+    assert common._trimmed(spark) in (True, False)
+    assert common.tidied(spark) is None

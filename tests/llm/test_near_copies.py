@@ -65,6 +65,24 @@ def test_large_group_of_edits_that_are_not_like_its_hubs(spark, sf_dir):
     assert sorted(r.doc_id for r in got.collect()) == sorted(want)
 
 
+def test_lists_in_blocks_are_settled_whole(spark, monkeypatch):
+    rng = random.Random(4)
+    sets = {}
+    for k in range(60):  # threes that are alike, all with the shingles 0 to 39
+        own = rng.sample(range(1000, 10**6), 30)
+        for j in range(3):
+            sets[3 * k + j] = sorted([*range(40), *own, 10**7 + 3 * k + j, -5])
+    want = {(a, b) for b in sets for a in range(b) if like({*sets[a]}, {*sets[b]})}
+    assert len(want) == 180
+    df = spark.createDataFrame([*sets.items()], "fp long, shingles array<long>")
+    early = op.rarest(df)
+    none = spark.createDataFrame([], "node long, component long")
+    for block, columns in ((1 << 16, 1 << 11), (1000, 7)):
+        monkeypatch.setattr(op, "BLOCK", block)
+        monkeypatch.setattr(op, "COLUMNS", columns)
+        assert {tuple(r) for r in op._all_apart(early, none, df).collect()} == want
+
+
 def test_long_texts_in_pieces(monkeypatch):
     text = " ".join(str(k * k % 997) for k in range(300)).encode()
     whole = op.shingles(text).tolist()
