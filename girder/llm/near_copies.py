@@ -48,6 +48,8 @@ HUBS = 2
 #: columns of their matrix at once.
 BLOCK, MEMBER = 1 << 16, 64
 COLUMNS = 1 << 11
+#: Places of the counts of shingles (four bytes each in every worker), and how many of them are handed on in a row.
+COUNTS, PLACES = 1 << 20, 1 << 10
 #: Words of a text that are hashed at once.
 PIECE = 1 << 16
 _SEEDS = np.random.default_rng(5).integers(1, 1 << 63, (2, BANDS * ROWS), np.uint64)
@@ -235,17 +237,83 @@ def _mixed(placed: DataFrame, *keys: str, **more: Column) -> DataFrame:
     return written(sized.filter("_low < _high").drop("_low", "_high"), "mixed-groups")
 
 
-def rarest(sets: DataFrame) -> DataFrame:
+def _place(found: np.ndarray, places: int) -> np.ndarray:
+    return (_mix(found.view(np.uint64)) % np.uint64(places)).astype(np.int64)
+
+
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of all sets of a batch, and offsets."""
+    lists = batch.column("shingles")
+    return lists.values.to_numpy(), lists.offsets.to_numpy()
+
+
+def tally(sets: DataFrame, places: int = COUNTS) -> np.ndarray:
+    """How many sets have a shingle, by its place; shingles that share a place are counted together.
+
+    A task counts its sets by itself and hands on what it has, PLACES at once, and each part of the places is added up
+    in one task: there is no row for a shingle, and what comes to the driver is bounded by the number of places.
+    """
+    ends = np.arange(0, places + PLACES, PLACES)
+
+    def count(batches):
+        counts = np.zeros(places, np.int64)
+        for b in batches:
+            flat, at = _flat(b)
+            counts += np.bincount(_place(flat[at[0] : at[-1]], places), minlength=places)
+        held = np.flatnonzero(counts)
+        cut = np.searchsorted(held, ends)
+        some = np.flatnonzero(np.diff(cut))
+        rows = [held[cut[k] : cut[k + 1]] for k in some]
+        columns = [pa.array(some, pa.int64()), _lists(rows), _lists([counts[x] for x in rows])]
+        yield pa.RecordBatch.from_arrays(columns, ["part", "place", "count"])
+
+    def add(batches):
+        counts = np.zeros(places, np.int64)
+        for b in batches:
+            at, more = (b.column(x).flatten().to_numpy() for x in ("place", "count"))
+            np.add.at(counts, at, more)
+        held = np.split(counts, ends[1:-1])
+        some = [k for k, x in enumerate(held) if x.any()]
+        columns = [pa.array(some, pa.int64()), pa.array([held[k].tobytes() for k in some], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["part", "counts"])
+
+    own = sets.select("shingles").mapInArrow(lean(count), "part long, place array<long>, count array<long>")
+    found = own.repartition("part").mapInArrow(lean(add), "part long, counts binary").toArrow()
+    counts = np.zeros(places, np.uint32)
+    for part, held in zip(found.column("part").to_pylist(), found.column("counts").to_pylist()):
+        of_part = np.frombuffer(held, np.int64)
+        counts[part * PLACES :][: len(of_part)] = np.minimum(of_part, np.iinfo(np.uint32).max)
+    return counts
+
+
+def rarest(sets: DataFrame, places: int = COUNTS) -> DataFrame:
     """token, fp, at (share, i, n, fp): the shingles at place i of each set, the rarest first, as far as one
-    can be the first that the set has in common with another that is alike; those that no other set has are left out."""
-    tokens = written(sets.select("fp", F.explode("shingles").alias("token")), "shingle-rows")
-    counts = written(tokens.groupBy("token").count(), "shingle-counts")
-    ranked = split_join(tokens, counts, ["token"], "inner", tokens.count())
-    order = ranked.groupBy("fp").agg(F.sort_array(F.collect_list(F.struct("count", "token"))).alias("order"))
-    early = order.select("fp", F.size("order").alias("n"), F.posexplode(F.expr(f"slice(order, 1, size(order) div {OF} + 1)")).alias("i", "x"))
-    at = F.struct((F.col("i") / F.col("n")).alias("share"), "i", "n", "fp")
-    found = written(early.filter("x.count > 1").select("x.token", "fp", at.alias("at")), "rarest-shingles")
-    deleted(tokens, counts)
+    can be the first that the set has in common with another that is alike; those that no other set can have are left out.
+
+    How rare a shingle is tells the tally. Which order it is doesn't matter to what is found if it is the same for
+    all sets, so shingles that share a place only make lists longer.
+    """
+    counts = sets.sparkSession.sparkContext.broadcast(tally(sets, places))
+
+    def run(batches):
+        for b in batches:
+            flat, at = _flat(b)
+            out = []
+            for fp, lo, hi in zip(b.column("fp").to_pylist(), at, at[1:]):
+                found, n = flat[lo:hi], int(hi - lo)
+                count = counts.value[_place(found, places)]
+                order = np.lexsort((found, count))[: n // OF + 1]
+                i = np.flatnonzero(count[order] > 1)
+                out.append((found[order[i]], np.full(len(i), fp), i / n, i, np.full(len(i), n)))
+            if out:
+                token, fps, share, i, n = (np.concatenate(x) for x in zip(*out))
+                ints = [pa.array(x, pa.int32()) for x in (i, n)]
+                place = pa.StructArray.from_arrays([pa.array(share), *ints, pa.array(fps)], ["share", "i", "n", "fp"])
+                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(fps), place], ["token", "fp", "at"])
+
+    schema = "token long, fp long, at struct<share: double, i: int, n: int, fp: long>"
+    found = written(sets.select("fp", "shingles").mapInArrow(lean(run), schema), "rarest-shingles")
+    counts.destroy()
     return found
 
 

@@ -83,6 +83,31 @@ def test_lists_in_blocks_are_settled_whole(spark, monkeypatch):
         assert {tuple(r) for r in op._all_apart(early, none, df).collect()} == want
 
 
+def test_rarest_shingles_make_no_row_for_each_shingle(spark, monkeypatch):
+    rng = random.Random(6)
+    sets = {}
+    for k in range(40):  # pairs that are alike, all with the shingles 0 to 59
+        own = rng.sample(range(1000, 10**6), 60)
+        for j in range(2):
+            sets[2 * k + j] = sorted([*range(60), *own, 10**7 + 2 * k + j])
+    df = spark.createDataFrame([*sets.items()], "fp long, shingles array<long>")
+    none = spark.createDataFrame([], "node long, component long")
+    want = {(a, b) for b in sets for a in range(b) if like({*sets[a]}, {*sets[b]})}
+    assert len(want) == 40
+    made = []
+    whole = op.written
+    monkeypatch.setattr(op, "written", lambda rows, name: made.append(whole(rows, name)) or made[-1])
+    early = op.rarest(df)
+    assert sum(t.count() for t in made) <= sum(len(x) // 5 + 1 for x in sets.values())
+    monkeypatch.undo()
+    counts = op.tally(df)
+    assert counts.sum() == sum(map(len, sets.values())) and counts.max() >= len(sets)
+    first = {r.fp: r.at for r in early.filter("at.i = 0").collect()}
+    assert all(at.n == 121 for at in first.values())
+    for found in (early, op.rarest(df, places=3), op.rarest(df, places=1500)):  # shingles that share places too
+        assert {tuple(r) for r in op._all_apart(found, none, df).collect()} == want
+
+
 def test_long_texts_in_pieces(monkeypatch):
     text = " ".join(str(k * k % 997) for k in range(300)).encode()
     whole = op.shingles(text).tolist()
